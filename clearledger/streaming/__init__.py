@@ -1,0 +1 @@
+"""Nothing lives here: the workload is batch with full refresh, so no stream operator exists."""
