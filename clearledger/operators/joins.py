@@ -32,3 +32,13 @@ def left_join_lookup(
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def beside_groups(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join of rows with one result row per group.
+
+    Few groups are broadcast. Many groups are joined by shuffle, where adaptive execution splits
+    a group too large for one task.
+    """
+    few = has_at_most(rows.select(*[F.col(f"`{b}`") for b in by]).distinct(), BROADCAST_ROWS)
+    return rows.join(F.broadcast(per_group) if few else per_group, by)

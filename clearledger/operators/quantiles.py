@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clearledger.operators.frames import aggregate_row, as_double, col
-from clearledger.operators.joins import BROADCAST_ROWS, has_at_most
+from clearledger.operators.joins import beside_groups
 
 ACCURACY = 10_000
 # The sketch may be off by 1/ACCURACY of the rows; the bracket allows four times that.
@@ -39,8 +39,7 @@ class Brackets:
     """Lowest and highest value that can hold each quantile of each column.
 
     Without groups the edges are numbers taken from one aggregate row; with groups they are
-    joined to the rows of the group. Few groups are broadcast; for many groups adaptive
-    execution splits a group that is too large for one task.
+    joined to the rows of the group.
     """
 
     def __init__(
@@ -64,8 +63,7 @@ class Brackets:
         sketch = numbers.groupBy(*by).agg(*aggregates)
         edges = F.struct(*[c for c in sketch.columns if c not in by])
         packed = sketch.select(*[col(b) for b in by], edges.alias("_s"))
-        few = has_at_most(numbers.select(*by).distinct(), BROADCAST_ROWS)
-        self.rows = numbers.join(F.broadcast(packed) if few else packed, by)
+        self.rows = beside_groups(numbers, packed, by)
 
     def _edge(self, i: int, whole: int, near: int) -> Column:
         if self.row is None:
