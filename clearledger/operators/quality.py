@@ -21,7 +21,7 @@ from clearledger.functions import (
     whitespace_issue,
 )
 from clearledger.functions.dates import UNRECOGNIZED
-from clearledger.operators.frames import col, percent, string_columns, value_counts_long
+from clearledger.operators.frames import col, percent, string_columns
 from clearledger.operators.sampling import SAMPLES, column_samples
 
 NUMERIC, DATE, WHITESPACE = "numeric", "date", "whitespace"
@@ -344,8 +344,3 @@ def cleaning_samples(df: DataFrame, n_samples: int = SAMPLES) -> DataFrame:
             WHITESPACE, F.when(has_outer_whitespace(value), strip_whitespace(value))
         ).alias("cleaned_text"),
     )
-
-
-def value_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, n) over present values of several columns."""
-    return value_counts_long(df, columns).filter(F.col("value").isNotNull())

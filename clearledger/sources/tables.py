@@ -33,8 +33,15 @@ def read_delimited(
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
-    """Delimited text with a header, one file per partition."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    """Delimited text with a header, one file per partition; blanks around values are kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("sep", sep)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def load_seed(
