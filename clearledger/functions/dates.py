@@ -1,26 +1,33 @@
 """Dates written in several formats within one column.
 
-Texts are rearranged to year-month-day and handed to ``try_cast``, which stays inside generated
-code and gives null for impossible days; no formatter object is needed per row.
+Each notation is rewritten to year-month-day by one pattern, and the result is handed to
+``try_cast``, which stays inside generated code and gives null for impossible days. The text is
+referred to once in the whole chain, so a filter that repeats the expression stays small.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clearledger.functions.text import strip_whitespace
 
-# Fixed patterns of the loading rule.
-DOTTED = r"^\d{1,2}\.\d{1,2}\.\d{4}\z"
-SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}\z"
-DASHED_DAY_FIRST = r"^\d{1,2}-\d{1,2}-\d{4}\z"
-ISO = r"^\d{4}-\d{1,2}-\d{1,2}\z"
-ISO_SLASHED = r"^\d{4}/\d{1,2}/\d{1,2}\z"
-ISO_LOOSE = (
-    r"^\d{4}([-/])\d{1,2}\1\d{1,2}"
-    r"([ T]([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d{1,9})?)?)?\z"
+# Fixed patterns: notation, and the order of its parts as year-month-day.
+DOTTED = (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})\z", "$3-$2-$1")
+# Day up to 31 and month up to 12.
+SLASHED_DAY_FIRST = (r"^([0-2]?\d|3[01])/(0?\d|1[0-2])/(\d{4})\z", "$3-$2-$1")
+SLASHED_MONTH_FIRST = (r"^(0?\d|1[0-2])/(\d{1,2})/(\d{4})\z", "$3-$1-$2")
+DASHED_DAY_FIRST = (r"^(\d{1,2})-(\d{1,2})-(\d{4})\z", "$3-$2-$1")
+YEAR_FIRST = (r"^(\d{4})-(\d{1,2})-(\d{1,2})\z", "$1-$2-$3")
+YEAR_FIRST_SLASHED = (r"^(\d{4})/(\d{1,2})/(\d{1,2})\z", "$1-$2-$3")
+YEAR_FIRST_LOOSE = (
+    r"^ *(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
+    r"([ T]([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d{1,9})?)?)? *\z",
+    "$1-$3-$4",
 )
+ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 
 # The shapes of the format report, in the order they are tried.
 DATE_SHAPES = (
@@ -42,48 +49,37 @@ CLEANER_DATE_SHAPES = (
     r"\d{4}-\d{1,2}-\d{1,2}",
 )
 
-# Format names in strptime notation.
-DAY_MONTH_SLASH = "%d/%m/%Y"
-MONTH_DAY_SLASH = "%m/%d/%Y"
-DAY_MONTH_DOT = "%d.%m.%Y"
-YEAR_FIRST_DASH = "%Y-%m-%d"
-DAY_FIRST_DASH = "%d-%m-%Y"
-YEAR_FIRST_SLASH = "%Y/%m/%d"
+# Format names in strptime notation, in the order the profiling rule tries them.
+NAMED_NOTATIONS = (
+    ("%d/%m/%Y", SLASHED_DAY_FIRST),
+    ("%m/%d/%Y", SLASHED_MONTH_FIRST),
+    ("%d.%m.%Y", DOTTED),
+    ("%Y-%m-%d", YEAR_FIRST),
+    ("%d-%m-%Y", DASHED_DAY_FIRST),
+    ("%Y/%m/%d", YEAR_FIRST_SLASHED),
+)
 
 # Written-out formats tried last, in Spark pattern letters.
+WRITTEN_OUT = r"[a-zA-Z]{3}|^\d{8}\z"
 FALLBACK_FORMATS = ("d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
 
 
-def _date(text: Column, sep: str, year: int, month: int, day: int) -> Column:
-    """Date from the parts of ``text`` at the given positions; null when no such day exists."""
-    part = lambda n: F.split_part(text, F.lit(sep), F.lit(n))
-    return F.concat_ws("-", part(year), part(month), part(day)).try_cast("date")
+def _iso_day(text: Column) -> Column:
+    """The date of a text in year-month-day order; null for other texts and impossible days."""
+    return F.regexp_extract(text, ISO_DAY, 0).try_cast("date")
 
 
-def _part_at_most(text: Column, n: int, bound: int) -> Column:
-    return F.split_part(text, F.lit("/"), F.lit(n)).try_cast("int") <= bound
+def _rewritten(text: Column, notations: list[tuple[str, str]]) -> Column:
+    """Texts of the given notations turned to year-month-day; a rewritten text fits no later
+    notation, so the first one that fits decides."""
+    return reduce(lambda t, n: F.regexp_replace(t, n[0], n[1]), notations, text)
 
 
 def parse_date_warehouse(c: Column) -> Column:
     """Loading rule: dotted day first, slashed day first unless the second part exceeds 12,
-    then year first, then year first with padding or a time of day. Anything else is null."""
-    slashed = c.rlike(SLASHED)
-    loose = F.trim(c)
-    return (
-        F.when(c.rlike(DOTTED), _date(c, ".", 3, 2, 1))
-        .when(
-            slashed & _part_at_most(c, 1, 31) & _part_at_most(c, 2, 12),
-            _date(c, "/", 3, 2, 1),
-        )
-        .when(slashed & _part_at_most(c, 1, 12), _date(c, "/", 3, 1, 2))
-        .when(c.rlike(ISO), c.try_cast("date"))
-        .when(
-            loose.rlike(ISO_LOOSE),
-            F.replace(
-                F.regexp_extract(loose, r"^[\d/-]+", 0), F.lit("/"), F.lit("-")
-            ).try_cast("date"),
-        )
-    )
+    then year first, also padded or with a time of day. Anything else is null."""
+    notations = [DOTTED, SLASHED_DAY_FIRST, SLASHED_MONTH_FIRST, YEAR_FIRST_LOOSE]
+    return _iso_day(_rewritten(c, notations))
 
 
 def has_parsing_error(parsed: Column, raw: Column) -> Column:
@@ -91,24 +87,20 @@ def has_parsing_error(parsed: Column, raw: Column) -> Column:
     return parsed.isNull() & raw.isNotNull()
 
 
-def _candidates(text: Column) -> list[tuple[str, Column]]:
-    """(format name, date or null) in the order the profiling rule tries them."""
-    slashed = text.rlike(SLASHED)
-    return [
-        (DAY_MONTH_SLASH, F.when(slashed, _date(text, "/", 3, 2, 1))),
-        (MONTH_DAY_SLASH, F.when(slashed, _date(text, "/", 3, 1, 2))),
-        (DAY_MONTH_DOT, F.when(text.rlike(DOTTED), _date(text, ".", 3, 2, 1))),
-        (YEAR_FIRST_DASH, F.when(text.rlike(ISO), text.try_cast("date"))),
-        (DAY_FIRST_DASH, F.when(text.rlike(DASHED_DAY_FIRST), _date(text, "-", 3, 2, 1))),
-        (YEAR_FIRST_SLASH, F.when(text.rlike(ISO_SLASHED), _date(text, "/", 1, 2, 3))),
-    ]
-
-
 def detect_date_format(c: Column) -> Column:
-    """Name of the first format whose shape matches and which gives a real day, else null."""
+    """Name of the first format whose shape matches and which gives a real day, else null.
+
+    Where day first fits but names no real day, month first cannot either.
+    """
+    text = strip_whitespace(c)
     named = [
-        F.when(parsed.isNotNull(), F.lit(name))
-        for name, parsed in _candidates(strip_whitespace(c))
+        F.when(
+            F.regexp_replace(F.regexp_extract(text, pattern, 0), pattern, order)
+            .try_cast("date")
+            .isNotNull(),
+            F.lit(name),
+        )
+        for name, (pattern, order) in NAMED_NOTATIONS
     ]
     return F.coalesce(*named)
 
@@ -116,11 +108,11 @@ def detect_date_format(c: Column) -> Column:
 def parse_date_mixed(c: Column) -> Column:
     """Profiling rule: strip, then the first format that gives a day, then written-out ones."""
     text = strip_whitespace(c)
+    day = _iso_day(_rewritten(text, [notation for _, notation in NAMED_NOTATIONS]))
     written = [
         F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in FALLBACK_FORMATS
     ]
-    fallback = F.when(text.rlike(r"[a-zA-Z]{3}|^\d{8}\z"), F.coalesce(*written))
-    return F.coalesce(*[parsed for _, parsed in _candidates(text)], fallback)
+    return F.coalesce(day, F.when(text.rlike(WRITTEN_OUT), F.coalesce(*written)))
 
 
 def date_shape(c: Column, anchored: bool) -> Column:

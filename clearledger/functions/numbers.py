@@ -10,35 +10,34 @@ from clearledger.functions.text import strip_whitespace
 # Fixed patterns. PLAIN_NUMBER keeps texts such as 1d, inf or 0x1p3 away from the cast, which
 # would accept them.
 PLAIN_NUMBER = r"^[ \t\r\n]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\r\n]*\z"
-DOT_GROUPED = r"^[0-9]{1,3}(\.[0-9]{3})+\z"
+COMMA_OR_GROUPED = r"(?s)^(.*,.*|[0-9]{1,3}(\.[0-9]{3})+)\z"
 GERMAN_NUMBER = r"^[0-9]+(\.[0-9]{3})*(,[0-9]+)?\z"
 
 
 def _plain(text: Column) -> Column:
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    """A plainly written number, else null: what does not match is extracted as an empty text.
+
+    The text is referred to once, so that an expression behind it is computed once.
+    """
+    return F.regexp_extract(text, PLAIN_NUMBER, 0).try_cast("double")
 
 
 def _decimal_comma(text: Column) -> Column:
-    """Read the comma as decimal point; dots beside a comma group thousands."""
-    return F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    """Read the comma as decimal point; dots group thousands."""
+    return F.translate(text, ",.", ".")
 
 
 def parse_number_warehouse(c: Column) -> Column:
     """Loading rule: a valid plain number wins, then comma, then dots as thousands marks."""
-    trimmed = F.trim(c)
-    regrouped = F.when(
-        c.contains(",") | c.contains("."), _plain(_decimal_comma(trimmed))
-    )
-    return F.coalesce(_plain(c), regrouped)
+    return F.coalesce(_plain(c), _plain(_decimal_comma(F.trim(c))))
 
 
 def parse_number_mixed(c: Column) -> Column:
     """Profiling rule: as the loading rule, but dots alone must form groups of three."""
     text = strip_whitespace(c)
-    regrouped = F.when(
-        text.contains(",") | text.rlike(DOT_GROUPED), _plain(_decimal_comma(text))
+    return F.coalesce(
+        _plain(text), _plain(_decimal_comma(F.regexp_extract(text, COMMA_OR_GROUPED, 0)))
     )
-    return F.coalesce(_plain(text), regrouped)
 
 
 def looks_like_german_number(c: Column) -> Column:
