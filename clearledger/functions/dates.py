@@ -1,33 +1,33 @@
 """Dates written in several formats within one column.
 
-Each notation is rewritten to year-month-day by one pattern, and the result is handed to
-``try_cast``, which stays inside generated code and gives null for impossible days. The text is
-referred to once in the whole chain, so a filter that repeats the expression stays small.
+One pattern rewrites every accepted notation to year-month-day, and ``try_cast`` reads the
+result inside generated code, giving null for impossible days. The text is referred to once,
+so expressions behind it, and filters that repeat the whole, stay small.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clearledger.functions.text import strip_whitespace
 
-# Fixed patterns: notation, and the order of its parts as year-month-day.
-DOTTED = (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})\z", "$3-$2-$1")
+# Fixed patterns: a notation, and the groups holding year, month and day.
+DOTTED = (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})\z", (3, 2, 1))
 # Day up to 31 and month up to 12.
-SLASHED_DAY_FIRST = (r"^([0-2]?\d|3[01])/(0?\d|1[0-2])/(\d{4})\z", "$3-$2-$1")
-SLASHED_MONTH_FIRST = (r"^(0?\d|1[0-2])/(\d{1,2})/(\d{4})\z", "$3-$1-$2")
-DASHED_DAY_FIRST = (r"^(\d{1,2})-(\d{1,2})-(\d{4})\z", "$3-$2-$1")
-YEAR_FIRST = (r"^(\d{4})-(\d{1,2})-(\d{1,2})\z", "$1-$2-$3")
-YEAR_FIRST_SLASHED = (r"^(\d{4})/(\d{1,2})/(\d{1,2})\z", "$1-$2-$3")
-YEAR_FIRST_LOOSE = (
-    r"^ *(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
-    r"([ T]([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d{1,9})?)?)? *\z",
-    "$1-$3-$4",
+SLASHED_DAY_FIRST = (r"^([0-2]?\d|3[01])/(0?\d|1[0-2])/(\d{4})\z", (3, 2, 1))
+SLASHED_MONTH_FIRST = (r"^(0?\d|1[0-2])/(\d{1,2})/(\d{4})\z", (3, 1, 2))
+DASHED_DAY_FIRST = (r"^(\d{1,2})-(\d{1,2})-(\d{4})\z", (3, 2, 1))
+YEAR_FIRST = (r"^(\d{4})-(\d{1,2})-(\d{1,2})\z", (1, 2, 3))
+YEAR_FIRST_SLASHED = (r"^(\d{4})/(\d{1,2})/(\d{1,2})\z", (1, 2, 3))
+# Padded, or with a time of day.
+TIME_OF_DAY = r"(?:[ T](?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d{1,9})?)?)?"
+YEAR_FIRST_LOOSE = (rf"^ *(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){TIME_OF_DAY} *\z", (1, 2, 3))
+YEAR_FIRST_LOOSE_SLASHED = (
+    rf"^ *(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){TIME_OF_DAY} *\z",
+    (1, 2, 3),
 )
-ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}\z"
+ANYTHING_ELSE = r"(?s)^.*\z"
 
 # The shapes of the format report, in the order they are tried.
 DATE_SHAPES = (
@@ -64,22 +64,35 @@ WRITTEN_OUT = r"[a-zA-Z]{3}|^\d{8}\z"
 FALLBACK_FORMATS = ("d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
 
 
-def _iso_day(text: Column) -> Column:
-    """The date of a text in year-month-day order; null for other texts and impossible days."""
-    return F.regexp_extract(text, ISO_DAY, 0).try_cast("date")
-
+def _day(text: Column, notations: list[tuple[str, tuple[int, int, int]]]) -> Column:
+    """The date of a text in the first notation that fits, else null.
 
-def _rewritten(text: Column, notations: list[tuple[str, str]]) -> Column:
-    """Texts of the given notations turned to year-month-day; a rewritten text fits no later
-    notation, so the first one that fits decides."""
-    return reduce(lambda t, n: F.regexp_replace(t, n[0], n[1]), notations, text)
+    All notations are alternatives of one pattern. Groups of those that do not fit are empty,
+    so putting the year groups, month groups and day groups after one another leaves the parts
+    of the one that does; a text fitting none becomes two dashes, which is no date.
+    """
+    parts: tuple[list[int], ...] = ([], [], [])
+    for i, (_, groups) in enumerate(notations):
+        for part, group in zip(parts, groups):
+            part.append(3 * i + group)
+    pattern = "|".join([p for p, _ in notations] + [ANYTHING_ELSE])
+    rewritten = "-".join("".join(f"${g}" for g in part) for part in parts)
+    return F.regexp_replace(text, pattern, rewritten).try_cast("date")
 
 
 def parse_date_warehouse(c: Column) -> Column:
     """Loading rule: dotted day first, slashed day first unless the second part exceeds 12,
     then year first, also padded or with a time of day. Anything else is null."""
-    notations = [DOTTED, SLASHED_DAY_FIRST, SLASHED_MONTH_FIRST, YEAR_FIRST_LOOSE]
-    return _iso_day(_rewritten(c, notations))
+    return _day(
+        c,
+        [
+            DOTTED,
+            SLASHED_DAY_FIRST,
+            SLASHED_MONTH_FIRST,
+            YEAR_FIRST_LOOSE,
+            YEAR_FIRST_LOOSE_SLASHED,
+        ],
+    )
 
 
 def has_parsing_error(parsed: Column, raw: Column) -> Column:
@@ -94,13 +107,8 @@ def detect_date_format(c: Column) -> Column:
     """
     text = strip_whitespace(c)
     named = [
-        F.when(
-            F.regexp_replace(F.regexp_extract(text, pattern, 0), pattern, order)
-            .try_cast("date")
-            .isNotNull(),
-            F.lit(name),
-        )
-        for name, (pattern, order) in NAMED_NOTATIONS
+        F.when(_day(text, [notation]).isNotNull(), F.lit(name))
+        for name, notation in NAMED_NOTATIONS
     ]
     return F.coalesce(*named)
 
@@ -108,7 +116,7 @@ def detect_date_format(c: Column) -> Column:
 def parse_date_mixed(c: Column) -> Column:
     """Profiling rule: strip, then the first format that gives a day, then written-out ones."""
     text = strip_whitespace(c)
-    day = _iso_day(_rewritten(text, [notation for _, notation in NAMED_NOTATIONS]))
+    day = _day(text, [notation for _, notation in NAMED_NOTATIONS])
     written = [
         F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in FALLBACK_FORMATS
     ]

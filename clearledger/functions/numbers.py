@@ -15,11 +15,9 @@ GERMAN_NUMBER = r"^[0-9]+(\.[0-9]{3})*(,[0-9]+)?\z"
 
 
 def _plain(text: Column) -> Column:
-    """A plainly written number, else null: what does not match is extracted as an empty text.
-
-    The text is referred to once, so that an expression behind it is computed once.
-    """
-    return F.regexp_extract(text, PLAIN_NUMBER, 0).try_cast("double")
+    """A plainly written number, else null. Only matching texts are cast, because a cast that
+    fails costs an exception."""
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
 def _decimal_comma(text: Column) -> Column:

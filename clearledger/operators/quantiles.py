@@ -134,7 +134,9 @@ def exact_quantiles(
         ),
     ).filter("_n > 0")
 
-    kept = bracketed.filter(reduce(or_, [brackets.inside(i, q) for i, _, q, _ in spots])).select(
+    # No filter before the generator: it would be pushed below the numbers and repeat whatever
+    # expressions make them, once per comparison.
+    kept = bracketed.select(
         *[col(b) for b in by],
         F.inline(
             F.array(

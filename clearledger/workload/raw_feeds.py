@@ -45,47 +45,37 @@ def _text(c: Column) -> Column:
 
 def amount_text(value: Column, key: Column) -> Column:
     """An amount in one of four notations, with some unreadable and missing ones."""
-    cents = F.round(value * 100).cast("bigint")
-    whole = F.floor(cents / 100).cast("bigint")
-    frac = F.lpad(_text(cents % 100), 2, "0")
-    comma = F.concat(_text(whole), F.lit(","), frac)
-    grouped = F.concat(
-        _text(F.floor(whole / 1000).cast("bigint")),
-        F.lit("."),
-        F.lpad(_text(whole % 1000), 3, "0"),
-        F.lit(","),
-        frac,
-    )
+    plain = value.cast("decimal(20,2)").cast("string")
+    comma = F.translate(plain, ".", ",")
+    grouped = F.regexp_replace(comma, r"^(\d+)(\d{3},)", "$1.$2")
     return (
         F.when(key % 503 == 0, F.lit("n/a"))
         .when(key % 509 == 0, F.lit(None).cast("string"))
-        .when(key % 4 == 0, F.concat(_text(whole), F.lit("."), frac))
+        .when(key % 4 == 0, plain)
         .when(key % 4 == 1, comma)
-        .when((key % 4 == 2) & (whole >= 1000), grouped)
+        .when((key % 4 == 2) & (value >= 1000), grouped)
         .otherwise(F.concat(F.lit(" "), comma, F.lit(" ")))
     )
 
 
 def date_text(value: Column, key: Column, form: Column) -> Column:
     """A date in one of five notations, with some empty, missing and impossible ones."""
-    y, m, d = _text(F.year(value)), _text(F.month(value)), _text(F.day(value))
-    mm, dd = F.lpad(m, 2, "0"), F.lpad(d, 2, "0")
+    written = lambda notation: F.date_format(value, notation)
     return (
         F.when(key % 211 == 0, F.lit(""))
         .when(key % 223 == 0, F.lit(None).cast("string"))
         .when(key % 227 == 0, F.lit("31.02.2020"))
-        .when(form % 5 == 0, F.concat_ws("-", y, mm, dd))
-        .when(form % 5 == 1, F.concat_ws(".", dd, mm, y))
-        .when(form % 5 == 2, F.concat_ws("/", d, m, y))
-        .when((form % 5 == 3) & (F.day(value) > 12), F.concat_ws("/", mm, dd, y))
-        .when(form % 5 == 3, F.concat_ws("/", dd, mm, y))
-        .otherwise(F.concat_ws("-", y, m, d))
+        .when(form % 5 == 0, written("yyyy-MM-dd"))
+        .when(form % 5 == 1, written("dd.MM.yyyy"))
+        .when(form % 5 == 2, written("d/M/yyyy"))
+        .when((form % 5 == 3) & (F.day(value) > 12), written("MM/dd/yyyy"))
+        .when(form % 5 == 3, written("dd/MM/yyyy"))
+        .otherwise(written("yyyy-M-d"))
     )
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("k")
-    email = F.lit(None).cast("string")
     cases = " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(EMAIL_FORMS))
     email = F.expr(f"CASE k % 11 {cases} END")
     copies = F.when(k % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
