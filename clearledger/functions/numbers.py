@@ -9,7 +9,9 @@ from clearledger.functions.text import strip_whitespace
 
 # Fixed patterns. PLAIN_NUMBER keeps texts such as 1d, inf or 0x1p3 away from the cast, which
 # would accept them.
-PLAIN_NUMBER = r"^[ \t\r\n]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\r\n]*\z"
+PLAIN_NUMBER = (
+    r"^[ \t\r\n]*+[+-]?+(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[ \t\r\n]*+\z"
+)
 COMMA_OR_GROUPED = r"(?s)^(.*,.*|[0-9]{1,3}(\.[0-9]{3})+)\z"
 GERMAN_NUMBER = r"^[0-9]+(\.[0-9]{3})*(,[0-9]+)?\z"
 
@@ -22,7 +24,7 @@ def _plain(text: Column) -> Column:
 
 def _decimal_comma(text: Column) -> Column:
     """Read the comma as decimal point; dots group thousands."""
-    return F.translate(text, ",.", ".")
+    return F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
 
 
 def parse_number_warehouse(c: Column) -> Column:

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearledger.functions import count_digits
 from clearledger.operators.frames import col, percent, value_counts_long
@@ -70,7 +71,7 @@ def id_duplicates(df: DataFrame, id_columns: list[str] | None = None) -> DataFra
         return report
     errors = df.sparkSession.createDataFrame(
         [(c, None, None, None, None, None, None, f"Column '{c}' not found") for c in absent],
-        report.schema,
+        T.StructType([T.StructField(f.name, f.dataType, True) for f in report.schema.fields]),
     )
     return report.unionByName(errors)
 

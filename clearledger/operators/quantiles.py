@@ -8,9 +8,6 @@ per bracket and over the distinct values of the one or two cells that hold the w
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,9 +24,13 @@ CELLS_PER_BRACKET = 1024
 
 
 def _numbers(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
-    """Group columns and the numbers as ``_v0, _v1, ...``; rows without a group are left out."""
+    """Group columns and the numbers as ``_v0, _v1, ...``; rows without a group are left out.
+
+    The numbers pass through a generator of one row, because filters on them must not be pushed
+    below it: they would repeat, once per comparison, whatever expressions make the numbers.
+    """
     values = [as_double(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]
-    numbers = df.select(*[col(b) for b in by], *values)
+    numbers = df.select(*[col(b) for b in by], F.inline(F.array(F.struct(*values))))
     for b in by:
         numbers = numbers.filter(col(b).isNotNull())
     return numbers
@@ -134,27 +135,19 @@ def exact_quantiles(
         ),
     ).filter("_n > 0")
 
-    # No filter before the generator: it would be pushed below the numbers and repeat whatever
-    # expressions make them, once per comparison.
-    kept = bracketed.select(
-        *[col(b) for b in by],
-        F.inline(
-            F.array(
-                *[
-                    F.when(
-                        brackets.inside(i, q),
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.lit(name).alias("_quantile"),
-                            brackets.cell(i, q).alias("_cell"),
-                            F.col(f"_v{i}").alias("_value"),
-                        ),
-                    )
-                    for i, c, q, name in spots
-                ]
-            )
-        ),
-    )
+    entries = [
+        F.when(
+            brackets.inside(i, q),
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(name).alias("_quantile"),
+                brackets.cell(i, q).alias("_cell"),
+                F.col(f"_v{i}").alias("_value"),
+            ),
+        )
+        for i, c, q, name in spots
+    ]
+    kept = bracketed.select(*[col(b) for b in by], F.inline(F.array(*entries)))
     counts = (
         kept.filter(F.col("_value").isNotNull() & F.col("_cell").isNotNull())
         .groupBy(*keys, "_cell", "_value")
@@ -178,7 +171,7 @@ def exact_quantiles(
         & (F.col(rank) < F.col("_before") + F.col("_in_cell"))
         for rank in ("_lower", "_upper")
     ]
-    wanted = cells.filter(reduce(or_, holds)).select(
+    wanted = cells.filter(holds[0] | holds[1]).select(
         *keys, "_cell", "_before", "_position", "_lower", "_upper"
     )
     # Ungrouped, at most two cells per column and quantile are wanted.
