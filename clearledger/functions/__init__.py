@@ -3,6 +3,7 @@
 from clearledger.functions.dates import (
     date_shape,
     detect_date_format,
+    has_date_shape,
     has_parsing_error,
     looks_like_date,
     parse_date_mixed,
@@ -33,6 +34,7 @@ __all__ = [
     "email_domain",
     "email_error",
     "email_is_valid",
+    "has_date_shape",
     "has_outer_whitespace",
     "has_parsing_error",
     "looks_like_date",

@@ -134,6 +134,11 @@ def date_shape(c: Column, anchored: bool) -> Column:
     return F.coalesce(*found)
 
 
+def has_date_shape(c: Column) -> Column:
+    """Whether any of the reported shapes occurs in the text."""
+    return c.rlike("|".join(pattern for pattern, _ in DATE_SHAPES))
+
+
 def looks_like_date(c: Column) -> Column:
     """Whether any shape the table cleaner knows occurs in the text."""
     return c.rlike("|".join(CLEANER_DATE_SHAPES))

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearledger.operators.frames import col
+from clearledger.operators.frames import col, stack
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -229,7 +228,7 @@ def check_suite_summary(
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
         parts += _model_summary(model, [c for c in checks if c.model == model], models, as_of)
-    summary = reduce(DataFrame.unionByName, parts)
+    summary = stack(parts)
     return summary.withColumn("passed", F.col("failures") == 0)
 
 

@@ -93,3 +93,11 @@ def aggregate_row(df: DataFrame, aggregates: list[Column]) -> Row:
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent; null when there is nothing to share."""
     return F.when(whole > 0, part * 100.0 / whole)
+
+
+def stack(frames: list[DataFrame]) -> DataFrame:
+    """Rows of several frames. Merged in halves, since every union analyses all of its plan."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return stack(frames[:half]).unionByName(stack(frames[half:]))

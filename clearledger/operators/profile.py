@@ -172,26 +172,43 @@ def _with_quartiles(totals: DataFrame, df: DataFrame, column: str) -> DataFrame:
 
 def date_distribution(df: DataFrame, column: str, as_of: str | None = None) -> DataFrame:
     """One row: missing and future dates, range, and mean, median, quartiles and deviation in
-    days since 1970-01-01."""
-    day = F.unix_date(col(column).cast("date"))
+    days since 1970-01-01.
+
+    Rows are first counted per day inside the map tasks. The calendar bounds the number of
+    days, so the exact quartiles of the day counts fit in one task at any size of the table.
+    """
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
-    days = df.select(col(column).cast("date").alias("_date"), day.alias("days"))
-    totals = days.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("_date").isNull()).alias("missing"),
-        F.count_if(F.col("_date") > today).alias("future_dates"),
+    per_day = df.groupBy(col(column).cast("date").alias("_date")).agg(F.count("*").alias("_n"))
+    day, n = F.unix_date("_date"), F.col("_n")
+    present = F.sum(F.when(F.col("_date").isNotNull(), n))
+    exact = lambda c: F.sum(c.cast("decimal(38,0)"))
+    totals = per_day.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("_date").isNull(), n)), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.when(F.col("_date") > today, n)), F.lit(0)).alias("future_dates"),
         F.min("_date").alias("min_date"),
         F.max("_date").alias("max_date"),
         F.datediff(F.max("_date"), F.min("_date")).alias("range_days"),
-        F.avg("days").alias("mean_days"),
-        F.stddev_samp("days").alias("std_days"),
+        present.cast("double").alias("_present"),
+        exact(n * day).cast("double").alias("_sum"),
+        exact(n.cast("decimal(20,0)") * day * day).cast("double").alias("_squares"),
+        F.percentile(day, list(QUARTILES.values()), n).alias("_q"),
     )
-    return _with_quartiles(totals, days, "days").select(
-        *totals.columns,
-        F.col("q1").alias("q1_days"),
-        F.col("median").alias("median_days"),
-        F.col("q3").alias("q3_days"),
-        (F.col("q3") - F.col("q1")).alias("iqr_days"),
+    spread = F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_present")
+    quartile = lambda i: F.col("_q")[i]
+    return totals.select(
+        "rows",
+        "missing",
+        "future_dates",
+        "min_date",
+        "max_date",
+        "range_days",
+        (F.col("_sum") / F.col("_present")).alias("mean_days"),
+        F.when(F.col("_present") > 1, F.sqrt(spread / (F.col("_present") - 1))).alias("std_days"),
+        quartile(0).alias("q1_days"),
+        quartile(1).alias("median_days"),
+        quartile(2).alias("q3_days"),
+        (quartile(2) - quartile(0)).alias("iqr_days"),
     )
 
 

@@ -12,6 +12,7 @@ from clearledger.functions import (
     email_domain,
     email_error,
     email_is_valid,
+    has_date_shape,
     has_outer_whitespace,
     looks_like_date,
     looks_like_german_number,
@@ -63,8 +64,7 @@ def _detection(df: DataFrame, columns: list[str], is_date) -> DataFrame:
 def quality_recommendations(df: DataFrame) -> DataFrame:
     """Which text columns look like numbers, dates (in any of eight shapes) or carry outer
     white space."""
-    columns = string_columns(df)
-    return _detection(df, columns, lambda c: date_shape(c, anchored=False).isNotNull())
+    return _detection(df, string_columns(df), has_date_shape)
 
 
 def detect_cleaning(df: DataFrame) -> dict[str, list[str]]:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearledger.operators.frames import col, percent
+from clearledger.operators.frames import col, percent, stack
 
 EXAMPLES = 5
 
@@ -130,7 +129,7 @@ def check_all_relationships(
         values = (r.name, r.parent_table, r.parent_key, None, r.child_table, r.foreign_key)
         row = values + (None,) * 6 + (False, error)
         reports.append(spark.createDataFrame([row], REPORT_SCHEMA))
-    return reduce(DataFrame.unionByName, reports)
+    return stack(reports)
 
 
 def missing_currencies(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearledger.operators.frames import stack
+
 COLUMN_SCHEMA = "table_name string, column_name string, data_type string, nullable boolean, ordinal int"
 
 
@@ -63,7 +63,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return stack(counted)
 
 
 def present_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -86,7 +86,7 @@ def present_counts(tables: dict[str, DataFrame]) -> DataFrame:
         entries.append(
             totals.select(F.lit(name).alias("table_name"), "row_count", F.inline(F.array(*entry)))
         )
-    return reduce(DataFrame.unionByName, entries)
+    return stack(entries)
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
