@@ -104,30 +104,26 @@ def histogram_dates(df: DataFrame, column: str) -> DataFrame:
 def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Quartiles, whiskers at the most extreme values inside the fences, and values beyond,
     for the whole column or per group."""
-    grouped = by or "_all"
-    source = df if by else df.withColumn("_all", F.lit("all"))
-    quartiles = exact_quantiles(
-        source, [column], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by] if by else None
-    ).drop("column")
-    if not by:
-        quartiles = quartiles.withColumn("_all", F.lit("all"))
-    values = source.select(col(grouped), as_double(df, column).alias("_v"))
-    joined = (
-        beside_groups(values, quartiles, [by])
-        if by
-        else values.join(F.broadcast(quartiles), "_all")
-    )
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = exact_quantiles(df, [column], names, [by] if by else None).drop("column")
+    value = as_double(df, column).alias("_v")
+    if by:
+        joined = beside_groups(df.select(col(by), value), quartiles, [by])
+    else:
+        row = quartiles.first() or dict.fromkeys(names)
+        joined = df.select(value).withColumns(
+            {name: F.lit(row[name]).cast("double") for name in names}
+        )
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col("_v") >= F.col("q1") - WHISKER_FACTOR * iqr) & (
         F.col("_v") <= F.col("q3") + WHISKER_FACTOR * iqr
     )
-    stats = joined.groupBy(col(grouped), "q1", "median", "q3").agg(
+    return joined.groupBy(*([col(by)] if by else []), "q1", "median", "q3").agg(
         F.count("_v").alias("n"),
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.count_if(~inside).alias("fliers"),
     )
-    return stats if by else stats.drop("_all")
 
 
 def kde_by_category(
@@ -158,7 +154,12 @@ def kde_by_category(
         .withColumn("_end", F.col("_max") + KDE_CUT * F.col("_bw"))
         .withColumn("_step", (F.col("_end") - F.col("_start")) / (grid - 1))
     )
-    near = merged.transform(lambda m: beside_groups(m, curves, ["category"]))
+    if category:
+        near = beside_groups(merged, curves, ["category"])
+    else:
+        row = curves.first() or dict.fromkeys(curves.columns)
+        fields = ("_bw", "_start", "_step")
+        near = merged.withColumns({f: F.lit(row[f]).cast("double") for f in fields})
     reach = KDE_REACH * F.col("_bw")
     first = F.ceil((F.col("_v") - reach - F.col("_start")) / F.col("_step"))
     last = F.floor((F.col("_v") + reach - F.col("_start")) / F.col("_step"))

@@ -164,12 +164,6 @@ def profile_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(*stats).select(F.inline(F.array(*entries)))
 
 
-def _with_quartiles(totals: DataFrame, df: DataFrame, column: str) -> DataFrame:
-    """One aggregate row with the quartiles of a column beside it, joined on its name."""
-    quartiles = exact_quantiles(df, [column], QUARTILES)
-    return totals.withColumn("column", F.lit(column)).join(F.broadcast(quartiles), "column", "left")
-
-
 def date_distribution(df: DataFrame, column: str, as_of: str | None = None) -> DataFrame:
     """One row: missing and future dates, range, and mean, median, quartiles and deviation in
     days since 1970-01-01.
@@ -203,7 +197,7 @@ def date_distribution(df: DataFrame, column: str, as_of: str | None = None) -> D
         "min_date",
         "max_date",
         "range_days",
-        (F.col("_sum") / F.col("_present")).alias("mean_days"),
+        F.when(F.col("_present") > 0, F.col("_sum") / F.col("_present")).alias("mean_days"),
         F.when(F.col("_present") > 1, F.sqrt(spread / (F.col("_present") - 1))).alias("std_days"),
         quartile(0).alias("q1_days"),
         quartile(1).alias("median_days"),
@@ -248,19 +242,38 @@ def grouped_stats(df: DataFrame, by: list[str], column: str) -> DataFrame:
 
 
 def group_size_stats(df: DataFrame, by: list[str]) -> DataFrame:
-    """Distribution of group sizes: number of groups, mean, deviation, extremes, quartiles."""
-    sizes = df
+    """Distribution of group sizes: number of groups, mean, deviation, extremes, quartiles.
+
+    Sizes are counted before their quartiles are taken: n rows cannot make more than about
+    sqrt(2n) different group sizes, so the counts fit in one task.
+    """
+    rows = df
     for b in by:
-        sizes = sizes.filter(col(b).isNotNull())
-    sizes = sizes.groupBy(*by).agg(F.count("*").alias("size"))
-    totals = sizes.agg(
-        F.count("*").alias("groups"),
-        F.avg("size").alias("mean"),
-        F.stddev_samp("size").alias("std"),
+        rows = rows.filter(col(b).isNotNull())
+    sizes = rows.groupBy(*[col(b) for b in by]).agg(F.count("*").alias("size"))
+    per_size = sizes.groupBy("size").agg(F.count("*").alias("_n"))
+    size, n = F.col("size"), F.col("_n")
+    exact = lambda c: F.sum(c.cast("decimal(38,0)")).cast("double")
+    totals = per_size.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("groups"),
+        exact(n * size).alias("_sum"),
+        exact(n.cast("decimal(20,0)") * size * size).alias("_squares"),
         F.min("size").alias("min"),
         F.max("size").alias("max"),
+        F.percentile(size, list(QUARTILES.values()), n).alias("_q"),
+    )
+    groups = F.col("groups").cast("double")
+    spread = F.col("_squares") - F.col("_sum") * F.col("_sum") / groups
+    return totals.select(
+        "groups",
+        F.when(groups > 0, F.col("_sum") / groups).alias("mean"),
+        F.when(groups > 1, F.sqrt(spread / (groups - 1))).alias("std"),
+        "min",
+        "max",
+        F.col("_q")[0].alias("q1"),
+        F.col("_q")[1].alias("median"),
+        F.col("_q")[2].alias("q3"),
     )
-    return _with_quartiles(totals, sizes, "size").select(*totals.columns, "q1", "median", "q3")
 
 
 def value_counts(df: DataFrame, column: str, top_n: int | None = None) -> DataFrame:

@@ -342,3 +342,14 @@ def test_samples_are_repeatable_and_complete_when_few(spark):
     assert {v for c, v in first if c == "few"} == {"0", "1", "2"}
     assert sum(c == "many" for c, _ in first) == 5
     assert set(column(sampling.column_samples(df, dtype_filter="int"), "column")) == {"few"}
+
+
+def test_date_and_group_statistics_of_empty_and_single_inputs(spark):
+    empty = spark.createDataFrame([], "d date, g string")
+    assert profile.date_distribution(empty, "d").first()["rows"] == 0
+    assert profile.group_size_stats(empty, ["g"]).first().groups == 0
+    one = spark.createDataFrame([(dt.date(1970, 1, 3), "a"), (None, None)], "d date, g string")
+    row = profile.date_distribution(one, "d", as_of="1970-01-01").first()
+    assert (row["rows"], row.missing, row.future_dates, row.mean_days) == (2, 1, 1, 2.0)
+    assert row.std_days is None and row.median_days == 2.0
+    assert profile.group_size_stats(one, ["g"]).first().groups == 1
