@@ -51,23 +51,6 @@ def as_text(df: DataFrame, name: str) -> Column:
     return value.cast("string")
 
 
-def long_doubles(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """(by..., column, value): the present numbers of several columns below each other."""
-    by = by or []
-    wide = df.select(
-        *[col(b).alias(b) for b in by],
-        *[as_double(df, c).alias(f"_v{i}") for i, c in enumerate(columns)],
-    )
-    for b in by:
-        wide = wide.filter(col(b).isNotNull())
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(f"_v{i}").alias("value"))
-        for i, c in enumerate(columns)
-    ]
-    stacked = wide.select(*[col(b) for b in by], F.inline(F.array(*entries)))
-    return stacked.filter(F.col("value").isNotNull())
-
-
 def value_counts_long(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n) over the texts of several columns, missing values included.
 

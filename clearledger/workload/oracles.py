@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from clearledger.functions.dates import CLEANER_DATE_SHAPES, DATE_SHAPES
+from clearledger.functions.dates import DATE_SHAPES
 from clearledger.functions.text import WHITESPACE
 from clearledger.operators import checks
 from clearledger.plans.suite import SUITE, SUMMARY_KEYS
@@ -463,24 +463,10 @@ def _whitespace(c: str) -> str:
 
 
 def _changes() -> str:
-    number, date = _number_mixed, _date_mixed
     entries = (
         ("loan_amount", "whitespace", _strip("loan_amount")),
-        ("interest_rate", "numeric", number("interest_rate")),
-        ("approval_rejection_date", "date", date("approval_rejection_date")),
-    )
-    return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", '{kind}' AS kind, {c} AS original,
-        CAST({cleaned} AS VARCHAR) AS cleaned FROM raw_loans"""
-        for c, kind, cleaned in entries
-    )
-
-
-def _summary_changes() -> str:
-    entries = (
         ("interest_rate", "numeric", _number_mixed("interest_rate")),
         ("approval_rejection_date", "date", _date_mixed("approval_rejection_date")),
-        ("loan_amount", "whitespace", _strip("loan_amount")),
     )
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{kind}' AS kind, {c} AS original,
@@ -825,7 +811,7 @@ BODIES = {
     "cleaning_summary": f"""SELECT "column", kind,
         count(*) FILTER (WHERE cleaned IS NOT NULL AND original <> cleaned) AS changed,
         count(*) FILTER (WHERE original IS NOT NULL AND cleaned IS NULL) AS unreadable
-        FROM ({_summary_changes()}) GROUP BY 1, 2""",
+        FROM ({_changes()}) GROUP BY 1, 2""",
     "cleaning_changes": f"""SELECT * FROM (SELECT DISTINCT * FROM ({_changes()})
         WHERE cleaned IS NOT NULL AND original <> cleaned)
         QUALIFY row_number() OVER (PARTITION BY "column", kind ORDER BY original) <= 3""",
