@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat
+from clearledger.llm import bpe, chat, quality, secrets
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+QUALITY_LEAST = 0.3
 
 
 def query(function: Query) -> Query:
@@ -25,6 +26,37 @@ def byte_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op5_secrets(spark, folder):
+    """Every secret of every document, by patterns and by Markov models."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = secrets.fit(secrets.labelled_samples(docs))
+    found = secrets.scan(docs, model).drop("text")
+    spans = F.col("spans")
+    base = secrets.listing(F.filter(spans, lambda s: s["kind"] != "random"))
+    return found.select(
+        "doc_id",
+        *[secrets.count(spans, kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secrets.listing(spans).alias("spans"),
+    )
+
+
+@query
+def op8_quality(spark, folder):
+    """Quality of every document, learnt from the labelled ones that are not held out."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    labels = quality.majority_labels(read_table(spark, folder, "labels"))
+    machine = quality.fit(docs, labels.where(~quality.held_out(F.col("key"))), metadata=("n_chars",))
+    scored = quality.score(docs, machine, metadata=("n_chars",)).drop("text")
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_bpe(spark, folder):
     """Tokens of every document by the byte-level vocabulary, and the text they decode to."""
