@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, quality, secrets
+from clearledger.llm import bpe, chat, jaccard, quality, secrets
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,13 @@ def byte_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op3_jaccard(spark, folder):
+    """Classes of documents linked by three-word shingles at a similarity of 0.9."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.similarity_classes(docs, n=3, percent=90)
+
+
 @query
 def op5_secrets(spark, folder):
     """Every secret of every document, by patterns and by Markov models."""
