@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearledger.llm.bytewords import chunks, lowered, mix, text_bytes, word_hashes, words
-from clearledger.sources.tables import shared_folder
+from clearledger.llm.tables import written
 
 WORDS, PERCENT = 5, 80
 U64 = np.uint64
@@ -259,13 +259,6 @@ def linked_within(rows: DataFrame, linked: Linked) -> DataFrame:
     )
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the shared folder and read back, so that no lost executor costs them."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable by links (a, b), for nodes that have any.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, jaccard, quality, secrets
+from clearledger.llm import bpe, chat, jaccard, quality, secrets, substrings
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,25 @@ def byte_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _removed() -> Column:
+    """How many bytes or words the spans of a row cover."""
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+@query
+def op1_suffix_array(spark, folder):
+    """Every document without the 400-byte strings that also start elsewhere."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    cut = substrings.remove_repeated_bytes(docs)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        _removed().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_jaccard(spark, folder):
     """Classes of documents linked by three-word shingles at a similarity of 0.9."""
@@ -49,6 +68,19 @@ def op5_secrets(spark, folder):
     )
 
 
+@query
+def op7_suffix_tree(spark, folder):
+    """Every document without the 50-word windows that an earlier document has."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    cut = substrings.remove_earlier_windows(docs)
+    return cut.select(
+        "doc_id",
+        "n_words",
+        _removed().alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op8_quality(spark, folder):
     """Quality of every document, learnt from the labelled ones that are not held out."""
