@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, jaccard, quality, secrets, substrings
+from clearledger.llm import bpe, chat, jaccard, neighbours, quality, secrets, substrings
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,12 @@ def op5_secrets(spark, folder):
     )
 
 
+@query
+def op6_multiprobe(spark, folder):
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    return neighbours.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op7_suffix_tree(spark, folder):
     """Every document without the 50-word windows that an earlier document has."""
