@@ -19,6 +19,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _VALUES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, np.uint64) | U64(1)
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes outside words of letters and digits; all bytes of other alphabets' characters are inside.
+SIGNS = np.ones(256, bool)
+SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = []
@@ -80,9 +83,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each word, and the number of the first word of each row (n + 1)."""
-    inside = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word, and the number of the first word of each row (n + 1).
+
+    ``between`` says which bytes are not in words."""
+    inside = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins, ends = inside.copy(), inside.copy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, jaccard, neighbours, quality, secrets, substrings
+from clearledger.llm import bpe, chat, decontaminate, jaccard, neighbours, quality, secrets, substrings
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def op3_jaccard(spark, folder):
     return jaccard.similarity_classes(docs, n=3, percent=90)
 
 
+@query
+def op4_spaced_seeds(spark, folder):
+    """Every overlap of a document with a benchmark item."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.overlaps(docs, read_table(spark, folder, "benchmark"))
+
+
 @query
 def op5_secrets(spark, folder):
     """Every secret of every document, by patterns and by Markov models."""
