@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, decontaminate, jaccard, neighbours, quality, secrets, substrings
+from clearledger.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, quality, secrets, substrings
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,20 @@ def op1_suffix_array(spark, folder):
     )
 
 
+@query
+def op2_licences(spark, folder):
+    """The licences of every paragraph of every document."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.fit(docs)).drop("text")
+    listed = F.transform("licences", lambda x: F.concat_ws(":", x["paragraph"], x["family"]))
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("long").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct("licences.family")), ",").alias("families"),
+        F.array_join(listed, ",").alias("paragraphs"),
+    )
+
+
 @query
 def op3_jaccard(spark, folder):
     """Classes of documents linked by three-word shingles at a similarity of 0.9."""

@@ -68,12 +68,8 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
         .otherwise(F.substring(F.upper(F.translate(sixty_four, "+/=", "")), 1, 24))
     )
     random = spark.range(RANDOM_STRINGS).select(drawn.alias("sample"), F.lit(1).alias("label"))
-    rows = (
-        docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
-        .where(F.col("t").isNotNull())
-        .orderBy(F.xxhash64("k"), "k", F.xxhash64("t"))
-        .limit(SAMPLE_DOCUMENTS)
-    )
+    least = docs.select(F.col(f"`{key}`").alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(SAMPLE_DOCUMENTS)
+    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(least), "k")
     words = F.filter(
         F.regexp_extract_all("t", F.lit(r"([A-Za-z]{2,})"), 1), lambda w: ~F.lower(w).rlike("^[0-9a-f]{8,}$")
     )
