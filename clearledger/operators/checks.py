@@ -18,6 +18,7 @@ NUMERIC_RANGE = "numeric_range"
 DATE_IS_PAST = "date_is_past"
 IS_BOOL = "is_bool"
 UNIQUE_COMBINATION = "unique_combination_of_columns"
+SUMMARY_SCHEMA = "model string, column string, check string, failures bigint, passed boolean"
 
 
 class CheckFailed(Exception):
@@ -145,91 +146,88 @@ def _row_condition(check: Check, as_of: str | None) -> Column | None:
     return None
 
 
-def _labelled(checks: list[Check], failures: list[Column]) -> Column:
-    entries = [
-        F.struct(
-            F.lit(c.model).alias("model"),
-            F.lit(c.column).alias("column"),
-            F.lit(c.kind).alias("check"),
-            f.cast("bigint").alias("failures"),
-        )
-        for c, f in zip(checks, failures)
-    ]
-    return F.inline(F.array(*entries))
+def _key_text(check: Check) -> Column:
+    """The value a check groups rows by, as text; null where the check leaves a row out."""
+    if check.kind == UNIQUE_COMBINATION:
+        return F.to_json(F.struct(*[col(c) for c in check.columns]), {"ignoreNullFields": "false"})
+    return col(check.columns[0]).cast("string")
 
 
-def _row_checks(df: DataFrame, checks: list[Check], as_of: str | None) -> DataFrame:
-    """All row conditions of a model in one aggregate over one scan."""
-    counts = [
-        F.count_if(_row_condition(c, as_of)).alias(f"_f{i}") for i, c in enumerate(checks)
-    ]
-    return df.agg(*counts).select(
-        _labelled(checks, [F.col(f"_f{i}") for i in range(len(checks))])
-    )
+def _entry(i: int, check: Check, as_of: str | None) -> Column:
+    """What a row adds to a check: nothing, or one entry under the key that counts."""
+    condition, key = _row_condition(check, as_of), F.lit(None).cast("string")
+    if condition is None:
+        key = _key_text(check)
+        condition = key.isNotNull()
+        if check.kind == ACCEPTED_VALUES:
+            condition = _not_accepted(col(check.columns[0]), check.options["values"])
+    return F.when(condition, F.struct(F.lit(i).alias("_check"), key.alias("_key")))
 
 
-def _value_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All accepted-value checks of a model: distinct unaccepted values, from one scan."""
-    entries = [
-        F.when(
-            _not_accepted(col(c.columns[0]), c.options["values"]),
-            F.struct(F.lit(i).alias("_i"), col(c.columns[0]).cast("string").alias("_value")),
-        )
+def _model_summary(
+    model: str, checks: list[Check], models: dict[str, DataFrame], as_of: str | None
+) -> DataFrame:
+    """(check number, failures) of a model, all from one scan of it.
+
+    Rows become entries (check, key), counted per key inside the map tasks; parents' keys meet
+    these counts, which already lie by check and key. A key with most rows is one entry a task.
+    """
+    df = models[model]
+    entries = [_entry(i, c, as_of) for i, c in enumerate(checks)]
+    counts = (
+        df.select(F.inline(F.array(*entries)))
+        .filter(F.col("_check").isNotNull())
+        .groupBy("_check", "_key")
+        .agg(F.count("*").alias("_n"))
+    )
+    parents = [
+        models[c.options["to"]]
+        .select(F.lit(i).alias("_check"), col(c.options["field"]).cast("string").alias("_key"))
+        .filter(F.col("_key").isNotNull())
         for i, c in enumerate(checks)
+        if c.kind == RELATIONSHIPS
     ]
-    bad = df.select(F.inline(F.array(*entries))).filter(F.col("_i").isNotNull())
-    counts = [F.count_if(F.col("_i") == i).alias(f"_f{i}") for i in range(len(checks))]
-    return (
-        bad.distinct()
-        .agg(*counts)
-        .select(_labelled(checks, [F.col(f"_f{i}") for i in range(len(checks))]))
+    if parents:
+        known = stack(parents).distinct().withColumn("_known", F.lit(True))
+        counts = counts.join(known, ["_check", "_key"], "left")
+    else:
+        counts = counts.withColumn("_known", F.lit(False))
+    of = lambda *kinds: F.col("_check").isin([i for i, c in enumerate(checks) if c.kind in kinds])
+    failures = (
+        F.when(of(RELATIONSHIPS), F.when(F.col("_known").isNull(), F.col("_n")))
+        .when(of(UNIQUE, UNIQUE_COMBINATION), (F.col("_n") > 1).cast("bigint"))
+        .when(of(ACCEPTED_VALUES), F.lit(1).cast("bigint"))
+        .otherwise(F.col("_n"))
     )
-
-
-def _relationship_check(check: Check, models: dict[str, DataFrame]) -> DataFrame:
-    """Orphaned rows, counted per key before the keys meet the parent."""
-    child = models[check.model].filter(col(check.column).isNotNull())
-    keys = child.groupBy(col(check.column).alias("_k")).agg(F.count("*").alias("_n"))
-    parent = models[check.options["to"]]
-    parents = parent.select(col(check.options["field"]).alias("_k")).distinct()
-    orphans = keys.join(parents, "_k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f")).select(
-        _labelled([check], [F.col("_f")])
+    found = counts.groupBy("_check").agg(F.sum(failures).alias("failures"))
+    declared = [
+        F.struct(
+            F.lit(i).alias("_check"),
+            F.lit(c.model).alias("model"),
+            F.lit(c.column).alias("column"),
+            F.lit(c.kind).alias("check"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    named = df.sparkSession.range(1).select(F.inline(F.array(*declared)))
+    # One row per declared check on both sides.
+    return named.join(F.broadcast(found), "_check", "left").select(
+        "model", "column", "check", F.coalesce("failures", F.lit(0)).alias("failures")
     )
 
 
-def _model_summary(
-    model: str, checks: list[Check], models: dict[str, DataFrame], as_of: str | None
-) -> list[DataFrame]:
-    by_row = [c for c in checks if _row_condition(c, as_of) is not None]
-    by_value = [c for c in checks if c.kind == ACCEPTED_VALUES]
-    parts = []
-    if by_row:
-        parts.append(_row_checks(models[model], by_row, as_of))
-    if by_value:
-        parts.append(_value_checks(models[model], by_value))
-    for c in checks:
-        if c.kind == RELATIONSHIPS:
-            parts.append(_relationship_check(c, models))
-        elif c.kind in (UNIQUE, UNIQUE_COMBINATION):
-            repeated = failing(c, models, as_of).agg(F.count("*").alias("_f"))
-            parts.append(repeated.select(_labelled([c], [F.col("_f")])))
-    return parts
-
-
 def check_suite_summary(
     checks: list[Check], models: dict[str, DataFrame], as_of: str | None = None
 ) -> DataFrame:
     """(model, column, check, failures, passed), one row per declared check.
 
-    A model's row conditions share one aggregate and its value lists another; only uniqueness
-    and relationships shuffle, and only the key column.
+    Every model is scanned once for all its checks, and once more where it is a parent.
     """
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
-        parts += _model_summary(model, [c for c in checks if c.model == model], models, as_of)
-    summary = stack(parts)
-    return summary.withColumn("passed", F.col("failures") == 0)
+        own = [c for c in checks if c.model == model]
+        parts.append(_model_summary(model, own, models, as_of))
+    return stack(parts).withColumn("passed", F.col("failures") == 0)
 
 
 def run_checks(
@@ -239,12 +237,14 @@ def run_checks(
     fail_fast: bool = False,
 ) -> DataFrame:
     """Run a suite; with ``fail_fast`` stop at the first model with a failing check."""
-    if fail_fast:
-        for model in dict.fromkeys(c.model for c in checks):
-            own = [c for c in checks if c.model == model]
-            # One row per declared check.
-            failed = check_suite_summary(own, models, as_of).filter(~F.col("passed")).collect()
-            if failed:
-                listed = ", ".join(f"{r['check']}({r['column']}): {r.failures}" for r in failed)
-                raise CheckFailed(f"{model}: {listed}")
-    return check_suite_summary(checks, models, as_of)
+    if not fail_fast:
+        return check_suite_summary(checks, models, as_of)
+    done, spark = [], next(iter(models.values())).sparkSession
+    for model in dict.fromkeys(c.model for c in checks):
+        summary = check_suite_summary([c for c in checks if c.model == model], models, as_of)
+        rows = summary.collect()  # one row per declared check
+        if failed := [r for r in rows if not r.passed]:
+            listed = ", ".join(f"{r['check']}({r['column']}): {r.failures}" for r in failed)
+            raise CheckFailed(f"{model}: {listed}")
+        done += rows
+    return spark.createDataFrame(done, SUMMARY_SCHEMA)

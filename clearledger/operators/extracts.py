@@ -12,6 +12,7 @@ from clearledger.operators.frames import aggregate_row, as_double, col, numeric_
 from clearledger.operators.joins import beside_groups, has_at_most
 from clearledger.operators.profile import value_counts
 from clearledger.operators.quantiles import exact_quantiles
+from clearledger.sources.tables import stored
 
 # Resampling frequencies, chart defaults.
 PERIODS = {"D": "day", "W": "week", "M": "month", "Q": "quarter", "Y": "year"}
@@ -73,7 +74,10 @@ def histogram_numeric(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) ->
     """(bin, low, high, n) for equal bins between minimum and maximum, empty bins included."""
     v = as_double(df, column)
     edges = aggregate_row(df, [F.min(v).alias("low"), F.max(v).alias("high")])
-    low, high = edges.low, edges.high
+    return _histogram(df, v, edges.low, edges.high, bins)
+
+
+def _histogram(df: DataFrame, v: Column, low: float | None, high: float | None, bins: int) -> DataFrame:
     if low is None:
         return df.sparkSession.createDataFrame([], "bin int, low double, high double, n bigint")
     if low == high:
@@ -94,11 +98,12 @@ def histogram_numeric(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) ->
 
 def histogram_dates(df: DataFrame, column: str) -> DataFrame:
     """Histogram of dates in days since 1970-01-01, one bin per started 30 days, at most 50."""
-    day = F.unix_date(col(column).cast("date"))
+    day = F.unix_date(col(column).cast("date")).cast("double")
     days = df.select(day.alias("day"))
-    span = aggregate_row(days, [(F.max("day") - F.min("day")).alias("days")]).days
-    bins = min(MAX_DATE_BINS, (span or 0) // 30 + 1)
-    return histogram_numeric(days, "day", bins)
+    edges = aggregate_row(days, [F.min("day").alias("low"), F.max("day").alias("high")])
+    span = int(edges.high - edges.low) if edges.low is not None else 0
+    bins = min(MAX_DATE_BINS, span // 30 + 1)
+    return _histogram(days, F.col("day"), edges.low, edges.high, bins)
 
 
 def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
@@ -155,6 +160,7 @@ def kde_by_category(
         .withColumn("_step", (F.col("_end") - F.col("_start")) / (grid - 1))
     )
     if category:
+        curves = stored(curves, "curves")  # also the axis of the result
         near = beside_groups(merged, curves, ["category"])
     else:
         row = curves.first() or dict.fromkeys(curves.columns)
@@ -200,18 +206,16 @@ def category_shares(df: DataFrame, column: str, top_n: int | None = None) -> Dat
 def category_codes(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """(category, code): position of each distinct value in sort order, from zero.
 
-    Few categories are numbered in one task. More are range-partitioned into a checkpoint and
-    numbered inside each partition, offset by the sizes of the partitions before it.
+    Few categories are numbered in one task. More are stored in range partitions, each with its
+    number, and numbered inside each partition, offset by the sizes of the partitions before it;
+    stored rows keep their partition if a task runs again.
     """
     categories = df.filter(col(column).isNotNull()).select(col(column).alias("category")).distinct()
     if has_at_most(categories, one_task_rows):
         code = F.row_number().over(W.orderBy("category")) - 1
         return categories.select("category", code.cast("bigint").alias("code"))
-    ranged = (
-        categories.repartitionByRange(F.col("category"))
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
+    numbered = categories.repartitionByRange(F.col("category")).withColumn("_part", F.spark_partition_id())
+    ranged = stored(numbered, "categories")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     # One row per shuffle partition.
     offsets = sizes.select(

@@ -18,6 +18,8 @@ from clearledger.operators.profile import profile_counts
 ID_TERMS = ("id", "key", "code", "num")
 NEARLY_UNIQUE_PERCENT = 95.0
 LISTED_RECORDS = 100
+# Six times the standard error of the approximate distinct count.
+SCREEN_MARGIN = 0.3
 
 
 def detect_id_columns(df: DataFrame) -> list[str]:
@@ -26,7 +28,12 @@ def detect_id_columns(df: DataFrame) -> list[str]:
     others = [c for c in df.columns if c not in named]
     if not others:
         return named
-    # The report has one row per column.
+    # A sketch rules out most columns; only those it cannot are counted exactly.
+    screened = profile_counts(df, others, approx=True).collect()  # one row per column
+    near = NEARLY_UNIQUE_PERCENT * (1 - SCREEN_MARGIN)
+    others = [r["column"] for r in screened if (r.unique_percentage or 0) > near]
+    if not others:
+        return named
     report = {r["column"]: r for r in profile_counts(df, others).collect()}
     unique = [
         c
@@ -86,21 +93,53 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
 
 
 def duplicate_records(df: DataFrame, column: str) -> DataFrame:
-    """All rows whose value of a column occurs more than once, equal values together."""
+    """All rows whose value of a column occurs more than once, equal values together.
+
+    The null-safe condition gives the join shuffles of its own, which adaptive execution can
+    split where one value holds most rows. A hash of the other columns breaks ties in the sort,
+    so that range bounds can fall within one value.
+    """
+    return _repeated_rows(df, column).orderBy(col(column), *_tie_breaker(df, [column]))
+
+
+def _repeated_rows(df: DataFrame, column: str) -> DataFrame:
     repeated = (
         df.filter(col(column).isNotNull())
         .groupBy(col(column))
         .agg(F.count("*").alias("_n"))
         .filter("_n > 1")
-        .select(col(column))
+        .alias("r")
     )
-    return df.join(repeated, column, "left_semi").orderBy(col(column))
+    return df.alias("d").join(repeated, _same("d", "r", [column]), "left_semi")
 
 
-def listed_records(records: DataFrame, limit: int = LISTED_RECORDS) -> DataFrame:
-    """What a report prints of a set of records: the first ``limit`` and whether some are left."""
-    more = records.limit(limit + 1).agg((F.count("*") > limit).alias("truncated")).scalar()
-    return records.limit(limit).withColumn("truncated", more)
+def _tie_breaker(df: DataFrame, keys: list[str]) -> list[Column]:
+    """A hash of the columns that are not keys; maps cannot be hashed and are left out."""
+    others = [
+        f.name for f in df.schema.fields if f.name not in keys and "map<" not in f.dataType.simpleString()
+    ]
+    return [F.xxhash64(*[col(c) for c in others])] if others else []
+
+
+def listed_records(
+    records: DataFrame, order_by: list[str], limit: int = LISTED_RECORDS
+) -> DataFrame:
+    """What a report prints of a set of records: the first ``limit`` in order and whether some
+    are left. One top-k of ``limit + 1`` rows holds both."""
+    first = records.orderBy(*[col(c) for c in order_by]).limit(limit + 1)
+    # limit + 1 rows at most from here on
+    numbered = first.withColumn(
+        "_place", F.row_number().over(W.orderBy(*[col(c) for c in order_by]))
+    ).withColumn("truncated", F.count("*").over(W.partitionBy()) > limit)
+    return numbered.filter(F.col("_place") <= limit).drop("_place")
+
+
+def listed_duplicates(
+    df: DataFrame, column: str, columns: list[str], limit: int = LISTED_RECORDS
+) -> DataFrame:
+    """The first rows, in the order of ``columns``, whose value of a column repeats; without
+    sorting the others."""
+    return listed_records(_repeated_rows(df, column).select(*[col(c) for c in columns]), columns, limit)
 
 
 def composite_key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clearledger.sources.tables import stored
+
 BROADCAST_ROWS = 100_000
 SALTS = 64
 
@@ -35,10 +40,16 @@ def left_join_lookup(
 
 
 def beside_groups(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
-    """Inner join of rows with one result row per group.
+    """Inner join of rows with one result row per group, for groups without missing keys.
 
-    Few groups are broadcast. Many groups are joined by shuffle, where adaptive execution splits
-    a group too large for one task.
+    The groups' rows are stored first, so that they are made once, whether counted, broadcast or
+    joined. Up to ``BROADCAST_ROWS`` are broadcast. More are joined by shuffle under a null-safe
+    condition: its keys are expressions, so neither a grouping before nor one after the join
+    shares its partitions, and adaptive execution may split a group too large for one task.
     """
-    few = has_at_most(rows.select(*[F.col(f"`{b}`") for b in by]).distinct(), BROADCAST_ROWS)
-    return rows.join(F.broadcast(per_group) if few else per_group, by)
+    groups = stored(per_group, "groups")
+    if has_at_most(groups, BROADCAST_ROWS):
+        return rows.join(F.broadcast(groups), by)
+    other = {b: f"_group{i}" for i, b in enumerate(by)}
+    same = reduce(and_, [F.col(f"`{b}`").eqNullSafe(F.col(o)) for b, o in other.items()])
+    return rows.join(groups.withColumnsRenamed(other), same).drop(*other.values())

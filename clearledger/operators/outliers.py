@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearledger.operators.frames import (
     aggregate_row,
@@ -17,6 +18,7 @@ from clearledger.operators.frames import (
 )
 from clearledger.operators.profile import top_values
 from clearledger.operators.quantiles import exact_quantiles
+from clearledger.sources.tables import stored
 
 IQR_FACTOR = 1.5
 Z_LIMIT = 3.0
@@ -27,6 +29,7 @@ MODIFIED_Z_SCALE = 0.6745
 BOUND_FIELDS = ("q1", "q3", "iqr", "lower_bound", "upper_bound")
 LISTED_VALUES = 10
 LISTED_DATES = 5
+SECONDS_A_DAY = 86_400
 
 
 def iqr_bounds(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR) -> DataFrame:
@@ -154,8 +157,11 @@ def outliers_mad_dates(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Dates whose modified z-score exceeds the limit, share of the present dates.
 
     Measured on whole seconds. A column whose median absolute deviation is zero gets no verdict.
+    Dates without a time are counted per day in one pass, and the calendar bounds the days.
     """
     columns = columns or date_columns(df)
+    if columns and all(isinstance(df.schema[c].dataType, T.DateType) for c in columns):
+        return _outlying_days(df, columns)
     medians, mads = _medians_and_deviations(df, columns)
     judged = [c for c in columns if c in medians]
     counts = []
@@ -178,6 +184,41 @@ def outliers_mad_dates(df: DataFrame, columns: list[str] | None = None) -> DataF
     return df.agg(*counts).select(F.inline(F.array(*entries)))
 
 
+def _outlying_days(df: DataFrame, columns: list[str]) -> DataFrame:
+    entries = [F.struct(F.lit(c).alias("column"), col(c).alias("_date")) for c in columns]
+    days = (
+        df.select(F.inline(F.array(*entries)))
+        .filter(F.col("_date").isNotNull())
+        .groupBy("column", "_date")
+        .agg(F.count("*").alias("_n"))
+    )
+    days = stored(days, "days").withColumn("_s", F.unix_date("_date").cast("double") * SECONDS_A_DAY)
+    # One row per column on the broadcast sides.
+    medians = days.groupBy("column").agg(F.percentile("_s", 0.5, F.col("_n")).alias("_median"))
+    apart = days.join(F.broadcast(medians), "column").withColumn("_apart", F.abs(F.col("_s") - F.col("_median")))
+    mads = apart.groupBy("column").agg(F.percentile("_apart", 0.5, F.col("_n")).alias("_mad"))
+    far = MODIFIED_Z_SCALE * F.col("_apart") > MODIFIED_Z_LIMIT * F.col("_mad")
+    report = (
+        apart.join(F.broadcast(mads), "column")
+        .groupBy("column")
+        .agg(
+            F.sum("_n").alias("non_null"),
+            F.max("_median").alias("median_seconds"),
+            F.max("_mad").alias("mad_seconds"),
+            F.coalesce(F.sum(F.when(far, F.col("_n"))), F.lit(0)).alias("_far"),
+        )
+    )
+    count = F.when(F.col("mad_seconds") > 0, F.col("_far"))
+    return report.select(
+        "column",
+        "non_null",
+        "median_seconds",
+        "mad_seconds",
+        count.alias("datetime_outliers_count"),
+        percent(count, F.col("non_null")).alias("datetime_outliers_percentage"),
+    )
+
+
 def mad_outlier_dates(df: DataFrame, column: str, listed: int = LISTED_DATES) -> DataFrame:
     """The outlying dates farthest from the median; ``listed`` is how many the report shows."""
     medians, mads = _medians_and_deviations(df, [column])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from clearledger.operators.frames import (
     present_value,
     value_counts_long,
 )
-from clearledger.operators.quantiles import approximate_quantiles, exact_quantiles
+from clearledger.operators.quantiles import Sketch, approximate_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -79,12 +79,11 @@ def total_missing(df: DataFrame) -> DataFrame:
     return df.agg(sum(missing[1:], missing[0]).alias("missing_cells"))
 
 
-def moments(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, n, min, max, mean, std, skew) of numeric columns in one pass without shuffle
-    of values; skewness is corrected for sample size."""
+def _moment_stats(columns: list[str], value) -> list[Column]:
+    """Aggregates of each column, whose number is given by ``value``."""
     stats = []
-    for i, c in enumerate(columns):
-        v = as_double(df, c)
+    for i in range(len(columns)):
+        v = value(i)
         stats += [
             F.count(v).alias(f"_n{i}"),
             F.min(v).alias(f"_min{i}"),
@@ -93,6 +92,12 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
             F.stddev_samp(v).alias(f"_std{i}"),
             F.skewness(v).alias(f"_skew{i}"),
         ]
+    return stats
+
+
+def _moment_rows(stats: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n, min, max, mean, std, skew) from the one row of aggregates; skewness is
+    corrected for sample size."""
     entries = []
     for i, c in enumerate(columns):
         n = F.col(f"_n{i}").cast("double")
@@ -109,18 +114,31 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
                 F.when(n >= 3, F.when(constant, 0.0).otherwise(corrected)).alias("skew"),
             )
         )
-    return df.agg(*stats).select(F.inline(F.array(*entries)))
+    return stats.select(F.inline(F.array(*entries)))
+
+
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n, min, max, mean, std, skew) of numeric columns in one pass without shuffle
+    of values."""
+    stats = _moment_stats(columns, lambda i: as_double(df, columns[i]))
+    return _moment_rows(df.agg(*stats), columns)
 
 
 def profile_numeric(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Minimum, maximum, mean, quartiles, deviation and skewness of numeric columns."""
+    """Minimum, maximum, mean, quartiles, deviation and skewness of numeric columns.
+
+    Exact quartiles take two passes; the moments ride along in the first."""
     columns = columns or numeric_columns(df)
-    quantiles = approximate_quantiles if approx else exact_quantiles
+    if approx:
+        found, quartiles = moments(df, columns), approximate_quantiles(df, columns, QUARTILES)
+    else:
+        beside = _moment_stats(columns, lambda i: F.col(f"_v{i}"))
+        sketch = Sketch(df, columns, QUARTILES, beside=beside)
+        found, quartiles = _moment_rows(sketch.summary, columns), sketch.exact()
     # One row per column on both sides.
     return (
-        moments(df, columns)
-        .filter("n > 0")
-        .join(F.broadcast(quantiles(df, columns, QUARTILES)), "column")
+        found.filter("n > 0")
+        .join(F.broadcast(quartiles), "column")
         .select("column", "n", "min", "max", "mean", "median", "std", "skew", "q1", "q3")
     )
 
@@ -141,9 +159,13 @@ def top_values(counts: DataFrame, k: int) -> DataFrame:
 def profile_categorical(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
     """Most frequent values per column with rank and share of all rows; rank 1 is the mode."""
     columns = columns or categorical_columns(df)
-    rows = df.agg(F.count("*").alias("rows")).scalar()
-    top = top_values(value_counts_long(df, columns), k)
-    return top.select("column", "rank", "value", "n", percent(F.col("n"), rows).alias("percentage"))
+    # Missing values are counted too, so the counts hold the number of rows.
+    counts = value_counts_long(df, columns)
+    rows = counts.groupBy("column").agg(F.sum("n").alias("rows"))
+    top = top_values(counts, k).join(F.broadcast(rows), "column")  # a row for each column
+    return top.select(
+        "column", "rank", "value", "n", percent(F.col("n"), F.col("rows")).alias("percentage")
+    )
 
 
 def profile_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -166,7 +188,8 @@ def profile_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def date_distribution(df: DataFrame, column: str, as_of: str | None = None) -> DataFrame:
     """One row: missing and future dates, range, and mean, median, quartiles and deviation in
-    days since 1970-01-01.
+    days since 1970-01-01. A date is in the future from tomorrow on: a time later today is not,
+    as with the declared check that dates are past.
 
     Rows are first counted per day inside the map tasks. The calendar bounds the number of
     days, so the exact quartiles of the day counts fit in one task at any size of the table.
@@ -229,16 +252,14 @@ def date_year_month_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def grouped_stats(df: DataFrame, by: list[str], column: str) -> DataFrame:
-    """Count, mean, median and deviation of a number per group."""
-    value = as_double(df, column)
-    stats = df.groupBy(*by).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")
-    )
-    medians = exact_quantiles(df, [column], {"median": 0.5}, by).drop("column")
-    joined = stats.join(medians, by, "left")
-    for b in by:
-        joined = joined.filter(col(b).isNotNull())
-    return joined.select(*by, "count", "mean", "median", "std")
+    """Count, mean, median and deviation of a number per group, in two passes."""
+    beside = [
+        F.count("_v0").alias("count"), F.avg("_v0").alias("mean"), F.stddev_samp("_v0").alias("std")
+    ]
+    sketch = Sketch(df, [column], {"median": 0.5}, by, beside=beside)
+    medians = sketch.exact().drop("column")
+    stats = sketch.summary.select(*[col(b) for b in by], "count", "mean", "std")
+    return stats.join(medians, by, "left").select(*[col(b) for b in by], "count", "mean", "median", "std")
 
 
 def group_size_stats(df: DataFrame, by: list[str]) -> DataFrame:

@@ -103,17 +103,32 @@ def date_format_counts(df: DataFrame, columns: list[str] | None = None) -> DataF
 
 
 def date_format_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column, format, n, total_non_null): the whole stripped text against eight shapes."""
-    columns = columns or date_columns_of(df)
-    counts = _shape_counts(df, columns, anchored=True)
-    # At most nine rows per column by now.
-    total = F.sum("n").over(W.partitionBy("column"))
-    return counts.select(
-        "column",
-        F.coalesce("format", F.lit(UNRECOGNIZED)).alias("format"),
-        "n",
-        total.alias("total_non_null"),
+    """(column, format, n, total_non_null): the whole stripped text against eight shapes.
+
+    Without columns those recommended for date conversion are reported: one scan counts every
+    text column by shape and by whether a date is found anywhere in it, which decides both."""
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"`{c}`").isNotNull().alias("_present"),
+            date_shape(col(c), True).alias("format"),
+            (F.lit(True) if columns else has_date_shape(col(c))).alias("_dated"),
+        )
+        for c in columns or string_columns(df)
+    ]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, format string, n bigint, total_non_null bigint")
+    shaped = df.select(F.inline(F.array(*entries))).filter("_present")
+    counts = shaped.groupBy("column", "format", "_dated").agg(F.count("*").alias("n"))
+    # At most eighteen rows per column by now.
+    column = W.partitionBy("column")
+    judged = counts.withColumn("total_non_null", F.sum("n").over(column)).withColumn(
+        "_dates", F.sum(F.when(F.col("_dated"), F.col("n")).otherwise(0)).over(column)
     )
+    chosen = judged.filter(F.col("_dates") / F.col("total_non_null") > (0 if columns else MAJORITY))
+    return chosen.groupBy(
+        "column", F.coalesce("format", F.lit(UNRECOGNIZED)).alias("format"), "total_non_null"
+    ).agg(F.sum("n").alias("n")).select("column", "format", "n", "total_non_null")
 
 
 def whitespace_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -137,11 +137,14 @@ def missing_currencies(
 ) -> DataFrame:
     """(currency, n, has_rate) per transaction currency. Codes are compared as they are unless
     ``trim`` is set. Transactions are counted per code before the codes meet."""
+    return _currencies(transactions, fx_rates, trim).filter(F.col("currency").isNotNull())
+
+
+def _currencies(transactions: DataFrame, fx_rates: DataFrame, trim: bool) -> DataFrame:
+    """(currency, n, has_rate), with a row for missing currencies."""
     clean = F.trim if trim else (lambda c: c)
-    counts = (
-        transactions.filter(F.col("transaction_currency").isNotNull())
-        .groupBy(clean(F.col("transaction_currency")).alias("currency"))
-        .agg(F.count("*").alias("n"))
+    counts = transactions.groupBy(clean(F.col("transaction_currency")).alias("currency")).agg(
+        F.count("*").alias("n")
     )
     known = fx_rates.select(clean(F.col("currency_iso_code")).alias("currency")).distinct()
     marked = known.withColumn("_known", F.lit(True))
@@ -161,22 +164,23 @@ def currency_coverage(
     ):
         if column not in df.columns:
             raise ValueError(f"Column '{column}' does not exist in table '{name}'")
-    codes = missing_currencies(transactions, fx_rates, trim)
+    codes = _currencies(transactions, fx_rates, trim)
     rated = (
         fx_rates.select(clean(F.col("currency_iso_code")).alias("c"))
         .distinct()
         .agg(F.count("*"))
         .scalar()
     )
-    total = transactions.agg(F.count("*").alias("n")).scalar()
-    lacking = ~F.col("has_rate")
+    # Missing currencies are a row of their own, so the rows hold all transactions.
+    lacking = F.col("currency").isNotNull() & ~F.col("has_rate")
     summary = codes.agg(
-        F.count("*").alias("distinct_transaction_currencies"),
+        F.count("currency").alias("distinct_transaction_currencies"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_transactions"),
         F.count_if(lacking).alias("missing_currency_count"),
         F.coalesce(F.sum(F.when(lacking, F.col("n"))), F.lit(0)).alias(
             "transactions_with_missing_fx"
         ),
-    ).withColumns({"distinct_fx_currencies": rated, "total_transactions": total})
+    ).withColumn("distinct_fx_currencies", rated)
     share = percent(F.col("transactions_with_missing_fx"), F.col("total_transactions"))
     return summary.select(
         "distinct_transaction_currencies",

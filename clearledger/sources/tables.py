@@ -66,6 +66,14 @@ def table_sample(
     return ordered.limit(limit) if limit else ordered
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back: later plans neither repeat the work
+    behind them nor depend on the executors that did it."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the cluster's checkpoint folder.
 

@@ -538,9 +538,9 @@ BODIES = {
         )
     ),
     "sampled_table": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
-    "filter_lookup": "SELECT * FROM raw_customers WHERE customer_id = 20",
+    "filter_lookup": "SELECT * FROM raw_customers WHERE customer_id = 77",
     "filter_in_list": """SELECT * FROM int_transactions WHERE transaction_currency IN
-        ('USD', 'AUD', 'CAD', 'EUR', 'GBP', 'NZD', 'SGD', 'CHF', 'JPY')""",
+        ('EUR', 'GBP', 'JPY', 'CAD', 'SGD', 'NOK', 'PLN', 'HUF', 'BGN', 'ZAR', 'MXN', 'CNY', 'THB')""",
     "filter_contains_ci": """SELECT transaction_id, transaction_currency FROM raw_transactions
         WHERE contains(lower(transaction_currency), 'ron')""",
     "topk_rates": """SELECT loan_id, interest_rate FROM int_loans

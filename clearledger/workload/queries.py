@@ -186,14 +186,14 @@ def sampled_table(spark, folder):
 @query
 def filter_lookup(spark, folder):
     customers = raw_feeds.raw_customers(spark, folder)
-    return customers.filter(F.col("customer_id") == 20)
+    return customers.filter(F.col("customer_id") == 77)
 
 
 @query
 def filter_in_list(spark, folder):
     rates = _cleaned(spark, folder, "transactions")
-    majors = ["USD", "AUD", "CAD", "EUR", "GBP", "NZD", "SGD", "CHF", "JPY"]
-    return rates.filter(F.col("transaction_currency").isin(majors))
+    every_second = raw_feeds.CURRENCY_CODES[::2]
+    return rates.filter(F.col("transaction_currency").isin(*every_second))
 
 
 @query
@@ -423,8 +423,7 @@ def duplicate_records(spark, folder):
 def listed_duplicates(spark, folder):
     raw = raw_feeds.raw_transactions(spark, folder)
     keys = ["transaction_id", "transaction_amount", "transaction_currency"]
-    records = ids.duplicate_records(raw, "transaction_id").select(keys).orderBy(*keys)
-    return ids.listed_records(records)
+    return ids.listed_duplicates(raw, "transaction_id", keys)
 
 
 @query

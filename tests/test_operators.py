@@ -163,8 +163,10 @@ def test_id_report_detects_columns_and_names_absent_ones(spark):
     got = by_key(ids.id_duplicates(df, ["customer_id", "nope"]))
     assert got["customer_id"]["records_with_duplicates"] == 40
     assert got["nope"]["error"] == "Column 'nope' not found"
-    listed = ids.listed_records(ids.duplicate_records(df, "customer_id"), 10).collect()
-    assert len(listed) == 10 and all(r.truncated for r in listed)
+    for limit, more in ((10, True), (40, False)):
+        listed = ids.listed_duplicates(df, "customer_id", ["customer_id", "name"], limit).collect()
+        assert len(listed) == limit and all(r.truncated == more for r in listed)
+        assert [(r.customer_id, r.name) for r in listed] == sorted((r[0], r[1]) for r in rows)[:limit]
 
 
 def test_foreign_keys_with_hot_missing_and_repeated_keys(spark):
