@@ -11,11 +11,12 @@ word of the sketch. Documents are joined on (band pair, place, word).
 Classes are found without writing all pairs of a group:
 
 1. Equal sets are merged first, by a digest of the set, before anything else is shuffled.
-2. Within each joined key every set is paired with the key's smallest member only. Pairs whose
-   sketches are too far apart are dropped, the rest are verified on the sets themselves.
-3. Components of the verified links. Keys that still hold several components are compared within,
-   sketch by sketch, and pairs of different components near enough are verified too. So every
-   pair that agrees in a key is either in one component already or has been tested.
+2. Every set is paired with the smallest member of one key, the member it shares most keys with,
+   and the pair is verified on the sets themselves.
+3. Keys that hold several components of these links are compared within, sketch by sketch: first
+   the nearest pairs of different components are verified, then, where components still differ,
+   all pairs whose sketches are near enough. So every pair that agrees in a key is in one
+   component already, or too far apart by its sketches, or has been tested.
 
 A key that many sets share has one row of 16 bytes for each; keys are many, as a set has one for
 each ten or so of its shingles, so a hot group spreads over many of them.
@@ -37,6 +38,8 @@ from clearledger.llm.bytewords import chunks, lowered, mix, text_bytes, word_has
 from clearledger.llm.tables import written
 
 WORDS, PERCENT = 5, 80
+#: More than the bands of sizes up to 2**40 at a similarity of 0.95.
+PAIR_MASK = 1023
 U64 = np.uint64
 
 
@@ -114,7 +117,8 @@ def parity_sketch(shingles: np.ndarray, n_words: int) -> np.ndarray:
 
 
 def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, id): for each set the hash of (band pair, place, word) of both of its sketches.
+    """(key, id): for each set the hash of (band pair, place, word) of both of its sketches. The
+    band pair stands in the key's low bits.
 
     A task sends a set once, however many of its documents have it."""
     bands = Bands(percent)
@@ -133,7 +137,8 @@ def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     for pair in range(max(band - 1, 0), band + 1):
                         sketch = parity_sketch(shingles, bands.words(pair))
                         place = np.arange(len(sketch), dtype=U64) + (U64(pair) << U64(48))
-                        keys.append(mix(mix(sketch) + mix(place)).view(np.int64))
+                        key = mix(mix(sketch) + mix(place)) & ~U64(PAIR_MASK) | U64(pair)
+                        keys.append(key.view(np.int64))
                         ids.append(np.full(len(sketch), own))
                 if keys:
                     yield _batch(key=np.concatenate(keys), id=np.concatenate(ids))
@@ -216,46 +221,88 @@ def verified(pairs: DataFrame, texts: DataFrame, linked: Linked) -> DataFrame:
     return joined.mapInArrow(checked, "a long, b long")
 
 
-def linked_within(rows: DataFrame, linked: Linked) -> DataFrame:
-    """Links (a, b) between sets of different components that share a key.
+def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
+    """(id, pair, n, sketch): both sketches of each set of texts (id, text)."""
+    bands = linked.bands
 
-    ``rows`` has (key, main, id, component, text); main is true for the component of the key's
-    leader. Rows come sorted with main last: the others are kept, main's pass by them. A link is
-    told only if it joins two components, so there are fewer than rows."""
+    def made(batches):
+        for whole in batches:
+            for batch in chunks(whole, 1):
+                out = []
+                sets = _sets(*text_bytes(batch.column(1)), linked.n)
+                for own, shingles in zip(batch.column(0).to_pylist(), sets, strict=True):
+                    band = int(bands.of(np.array([len(shingles)]))[0])
+                    for pair in range(max(band - 1, 0), band + 1):
+                        out.append((own, pair, len(shingles), parity_sketch(shingles, bands.words(pair)).tobytes()))
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                columns = list(zip(*out, strict=True)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "pair", "n", "sketch"]
+                )
 
-    def found(batches):
-        key, held, root = None, [], {}
+    return texts.select("id", "text").mapInArrow(made, "id long, pair long, n long, sketch binary")
 
-        def top(c):
-            while root.get(c, c) != c:
-                c = root[c]
-            return c
 
-        for whole in batches:
-            for batch in chunks(whole, 4):
-                a, b = [], []
-                columns = [batch.column(c).to_pylist() for c in ("key", "main", "id", "component")]
-                for k, main, own, component, text in zip(*columns, batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                    if k != key:
-                        key, held, root = k, [], {}
-                    shingles = None
-                    for other, of, theirs in held:
-                        if top(of) != top(component):
-                            shingles = linked.set_of(text) if shingles is None else shingles
-                            if linked(shingles, theirs):
-                                root[top(of)] = top(component)
-                                a.append(own)
-                                b.append(other)
-                    if not main:
-                        held.append((own, component, linked.set_of(text) if shingles is None else shingles))
-                if a:
-                    yield _batch(a=np.array(a), b=np.array(b))
+class _Held:
+    """Sets of one key that later ones are compared with, their sketches as a matrix."""
+
+    def __init__(self, width: int):
+        self.count = 0
+        self.ids, self.label, self.size = (np.zeros(8, np.int64) for _ in range(3))
+        self.sketch = np.zeros((8, width), U64)
+
+    def add(self, own: int, label: int, size: int, sketch: np.ndarray) -> None:
+        if self.count == len(self.ids):
+            self.ids, self.label, self.size = (np.concatenate([x, x]) for x in (self.ids, self.label, self.size))
+            self.sketch = np.vstack([self.sketch, self.sketch])
+        at = self.count
+        self.ids[at], self.label[at], self.size[at], self.sketch[at] = own, label, size, sketch
+        self.count += 1
+
+
+def near_pairs(rows: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Distinct pairs (a, b) of sets of different components that share a key and whose sketches
+    are no further apart than those of linked sets.
+
+    ``rows`` has (key, main, id, component, n, sketch); main is true for the component of the key's
+    leader. Rows come sorted with main last: the others are kept, main's pass by them, so a
+    component with very many rows is not held. A row is compared with all kept ones at once. With
+    ``every`` all such pairs are told. Without, a row tells its nearest pair with each component,
+    which then counts as the row's own within the key: enough to join most components."""
+    bands = Bands(percent)
+
+    def found(batches):
+        key = held = None
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(c).to_pylist() for c in ("key", "main", "id", "component", "n", "sketch")]
+            for k, main, own, label, size, raw in zip(*columns, strict=True):
+                sketch = np.frombuffer(raw, U64)
+                if k != key:
+                    key, held = k, _Held(len(sketch))
+                at = np.flatnonzero(held.label[: held.count] != label)
+                if len(at):
+                    apart = np.bitwise_count(held.sketch[at] ^ sketch).sum(axis=1)
+                    near = apart <= bands.most_apart(held.size[at] + size)
+                    at, apart = at[near], apart[near]
+                    if not every and len(at):
+                        at = at[np.argsort(apart, kind="stable")]
+                        at = at[np.sort(np.unique(held.label[at], return_index=True)[1])]
+                        told = held.label[at]
+                        held.label[np.isin(held.label, told)] = label
+                    a += [own] * len(at)
+                    b += held.ids[at].tolist()
+                if not main:
+                    held.add(own, label, size, sketch)
+            if a:
+                yield _batch(a=np.maximum(a, b), b=np.minimum(a, b))
 
     return (
         rows.repartition("key")
         .sortWithinPartitions("key", "main", "id")
-        .select("key", "main", "id", "component", "text")
+        .select("key", "main", "id", "component", "n", "sketch")
         .mapInArrow(found, "a long, b long")
+        .distinct()
     )
 
 
@@ -299,24 +346,16 @@ def similarity_classes(
     ranked = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), "leader"))
     best = counted.withColumn("r", ranked).where("r = 1").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     links = written(verified(best, texts, linked), "linked")
-    # other leaders, where that has not joined them
-    known = written(components(links), "components")
-    rest = _with_component(counted.select("id", "leader"), known, "id", "ca")
-    rest = _with_component(rest, known, "leader", "cb").where("ca <> cb").select(F.col("id").alias("a"), F.col("leader").alias("b"))
-    links = links.union(written(verified(rest, texts, linked), "linked"))
-    # keys that still hold several components: one key for each group of sets
-    known = written(components(links), "components")
-    placed = _with_component(shared, known, "id", "component")
-    sign = placed.groupBy("key").agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-    )
-    open_keys = sign.where("n > 2 AND low < high").groupBy("n", "sum").agg(F.min("key").alias("key")).select("key")
-    lead = _with_component(placed, known, "leader", "lead")
-    inside = lead.join(open_keys, "key").withColumn("main", F.col("component") == F.col("lead")).join(texts, "id")
-    links = links.union(written(linked_within(inside, linked), "linked"))
+    # within keys that still hold several components: the nearest pairs, then every pair left
+    sketches = written(sketches_of(texts, linked), "sketches")
+    tested = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    for every in (False, True):
+        rows_left = _open_rows(shared, written(components(links), "components"))
+        inside = rows_left.join(sketches, ["id", "pair"])
+        pairs = near_pairs(inside, percent, every).join(tested, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        tested = tested.union(pairs)
+        links = links.union(written(verified(pairs, texts, linked), "linked"))
     # the same graph with documents as nodes, whose smallest is the class
     as_docs = links.join(reps.toDF("a", "x"), "a").join(reps.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     classes = written(components(as_docs), "classes")
@@ -331,6 +370,24 @@ def similarity_classes(
     )
 
 
+def _open_rows(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, main, id, component, pair) of keys with several components; of keys with the same
+    sets one only."""
+    placed = _with_component(shared, known, "id", "component")
+    sign = placed.groupBy("key").agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    pair = F.col("key").bitwiseAND(F.lit(PAIR_MASK))
+    keys = sign.where("low < high").groupBy(pair.alias("pair"), "n", "sum").agg(F.min("key").alias("key"))
+    lead = _with_component(placed, known, "leader", "lead")
+    return lead.join(keys.select("key", "pair"), "key").select(
+        "key", (F.col("component") == F.col("lead")).alias("main"), "id", "component", "pair"
+    )
+
+
 def _texts_of(sets: DataFrame, rows: DataFrame, linked: Linked) -> DataFrame:
     """(id, text) of each set (id, rep); of rows that share a document id, one that has the set."""
 
