@@ -89,6 +89,47 @@ def present_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return stack(entries)
 
 
+CATALOGUE_SCHEMA = (
+    "schema_name string, table_name string, table_type string, table_comment string,"
+    " column_name string, column_type string, column_comment string, ordinal int"
+)
+KINDS = {"VIEW": "VIEW", "TEMPORARY": "VIEW"}
+
+
+def data_catalogue(spark: SparkSession, databases: list[str]) -> DataFrame:
+    """One row per column of every table and view of some databases, with its table's kind and
+    the comments on both. Made from the catalogue alone, no table is read."""
+    rows = []
+    for database in databases:
+        for t in spark.catalog.listTables(database):
+            if t.isTemporary:
+                continue
+            fields = spark.table(f"`{database}`.`{t.name}`").schema.fields
+            for position, f in enumerate(fields, 1):
+                kind = KINDS.get(t.tableType, "BASE TABLE")
+                comment = (f.metadata or {}).get("comment")
+                rows.append(
+                    (database, t.name, kind, t.description, f.name, f.dataType.simpleString(), comment, position)
+                )
+    return spark.createDataFrame(rows, CATALOGUE_SCHEMA).orderBy("schema_name", "table_name", "ordinal")
+
+
+def explore_tables(tables: dict[str, DataFrame], limit: int = 5) -> DataFrame:
+    """(table_name, row_count, place, row): the number of rows of every table, with its first
+    rows as JSON; an empty table has one row without any."""
+    parts = []
+    for name, df in tables.items():
+        shown = df.limit(limit).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+        listed = shown.agg(F.collect_list("row"))  # `limit` rows
+        total = df.agg(F.count("*").alias("row_count")).withColumn("rows", listed.scalar())
+        parts.append(
+            total.select(
+                F.lit(name).alias("table_name"), "row_count", F.posexplode_outer("rows").alias("place", "row")
+            )
+        )
+    return stack(parts).select("table_name", "row_count", (F.col("place") + 1).alias("place"), "row")
+
+
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
     """Write a catalogue as JSON lines."""
     catalogue.write.mode("overwrite").json(path)

@@ -4,14 +4,85 @@ from __future__ import annotations
 
 import re
 
-from clearledger.functions.dates import DATE_SHAPES
-from clearledger.functions.text import WHITESPACE
-from clearledger.operators import checks
-from clearledger.plans.suite import SUITE, SUMMARY_KEYS
 from clearledger.workload.queries import AS_OF, TABLES
 from clearledger.workload.raw_feeds import CURRENCY_CODES, EMAIL_FORMS, NATION_WITHOUT_RATE
 
 DAY = f"DATE '{AS_OF}'"
+SUMMARY_KEYS = ("transaction_date", "customer_id", "account_id", "branch_id")
+
+# Fixed values, written out once more so that a fault in the engine's own lists shows.
+WHITESPACE_CODES = (
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239,
+    8287, 12288,
+)
+DATE_SHAPES = (
+    (r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "DD/MM/YYYY or MM/DD/YYYY"),
+    (r"[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}", "DD.MM.YYYY"),
+    (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "YYYY-MM-DD"),
+    (r"[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", "DD-MM-YYYY"),
+    (r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "YYYY/MM/DD"),
+    (r"[0-9]{1,2}\s+[A-Za-z]{3,}\s+[0-9]{4}", "DD Month YYYY"),
+    (r"[A-Za-z]{3,}\s+[0-9]{1,2},?\s+[0-9]{4}", "Month DD, YYYY"),
+    (r"[0-9]{8}", "YYYYMMDD or DDMMYYYY"),
+)
+# One line a model and column: the declared checks, with bounds, values or parent.
+DECLARED = """
+stg_accounts account_id: not_null; unique
+stg_accounts customer_id: not_null; relationships stg_customers customer_id
+stg_accounts account_type: not_null; accepted_values savings current
+stg_accounts account_opening_date: date_is_past
+stg_customers customer_id: not_null; unique
+stg_customers age: not_null; numeric_range 18 200
+stg_customers branch_id: not_null
+stg_fx_rates currency_iso_code: not_null; unique
+stg_fx_rates fx_rate: not_null; numeric_range 0
+stg_fx_rates fx_rate_date: date_is_past
+stg_fx_rates has_date_parsing_error: not_null
+stg_loans loan_id: not_null; unique
+stg_loans loan_amount: not_null; numeric_range 0
+stg_loans loan_type: not_null; accepted_values personal mortgage auto
+stg_loans interest_rate: not_null; numeric_range 0
+stg_loans loan_term: not_null; accepted_values 12 24 36 48 60
+stg_loans approval_rejection_date: not_null; date_is_past
+stg_loans loan_status: not_null; accepted_values approved rejected closed
+stg_transactions transaction_id: not_null; unique
+stg_transactions account_id: not_null; relationships stg_accounts account_id
+stg_transactions transaction_type: not_null; accepted_values transfer deposit withdrawal
+int_accounts account_id: not_null; unique
+int_accounts customer_id: not_null; relationships int_customers customer_id
+int_accounts account_opening_date: not_null; date_is_past
+int_customers customer_id: not_null; unique
+int_customers branch_id: not_null
+int_fx_rates currency_iso_code: not_null; unique
+int_fx_rates fx_rate: not_null; numeric_range 0
+int_fx_rates fx_rate_date: not_null; date_is_past
+int_loans loan_id: not_null; unique
+int_loans loan_amount: not_null; numeric_range 0
+int_loans interest_rate: not_null; numeric_range 0
+int_loans loan_term: not_null; accepted_values 12 24 36 48 60
+int_loans approval_rejection_date: not_null; date_is_past
+int_loans loan_status: not_null; accepted_values approved rejected closed
+int_transactions transaction_id: not_null; unique
+int_transactions transaction_amount: not_null; numeric_range 0
+int_currencies currency_iso_code: not_null; unique
+customer_transactions_summary transaction_date: not_null
+customer_transactions_summary customer_id: not_null
+customer_transactions_summary account_id: not_null
+customer_transactions_summary branch_id: not_null
+customer_transactions_summary total_amount_eur: not_null
+customer_transactions_summary total_transactions: not_null
+customer_transactions_summary transaction_date,customer_id,account_id,branch_id: unique_combination_of_columns
+"""
+
+
+def declared() -> list[tuple[str, str, str, list[str]]]:
+    """(model, column, check, further words) of every declared check."""
+    out = []
+    for line in DECLARED.strip().splitlines():
+        place, kinds = line.split(": ")
+        model, column = place.split(" ")
+        out += [(model, column, *[(k[0], k[1:]) for k in [kind.split(" ")]][0]) for kind in kinds.split("; ")]
+    return out
 
 
 def _codes(index: str) -> str:
@@ -84,7 +155,7 @@ def _number(c: str) -> str:
 
 
 def _strip(c: str) -> str:
-    characters = " || ".join(f"chr({ord(x)})" for x in WHITESPACE)
+    characters = " || ".join(f"chr({code})" for code in WHITESPACE_CODES)
     return f"trim({c}, {characters})"
 
 
@@ -387,36 +458,32 @@ def _numeric_profile(table: str, c: str) -> str:
         round(quantile_cont({c}, 0.75), 4) AS q3 FROM {table}"""
 
 
-def _check_failures(c: checks.Check) -> str:
-    col, o = ", ".join(c.columns), c.options
-    rows = lambda condition: f"SELECT count(*) FROM {c.model} WHERE {condition}"
-    if c.kind == checks.NOT_NULL:
-        return rows(f"{col} IS NULL")
-    if c.kind == checks.DATE_IS_PAST:
-        return rows(f"{col} > {DAY}")
-    if c.kind == checks.NUMERIC_RANGE:
-        upper = f" OR {col} > {o['max']}" if "max" in o else ""
-        return rows(f"{col} < {o['min']}{upper}")
-    if c.kind == checks.ACCEPTED_VALUES:
-        listed = ", ".join(repr(v) for v in o["values"])
-        return f"SELECT count(DISTINCT {col}) FROM {c.model} WHERE {col} NOT IN ({listed})"
-    if c.kind == checks.RELATIONSHIPS:
+def _check_failures(model: str, column: str, kind: str, words: list[str]) -> str:
+    rows = lambda condition: f"SELECT count(*) FROM {model} WHERE {condition}"
+    if kind == "not_null":
+        return rows(f"{column} IS NULL")
+    if kind == "date_is_past":
+        return rows(f"{column} > {DAY}")
+    if kind == "numeric_range":
+        upper = f" OR {column} > {words[1]}" if len(words) > 1 else ""
+        return rows(f"{column} < {words[0]}{upper}")
+    if kind == "accepted_values":
+        listed = ", ".join(w if w.isdigit() else f"'{w}'" for w in words)
+        return f"SELECT count(DISTINCT {column}) FROM {model} WHERE {column} NOT IN ({listed})"
+    if kind == "relationships":
+        to, key = words
         return rows(
-            f"{col} IS NOT NULL AND {col} NOT IN (SELECT {o['field']} FROM {o['to']}"
-            f" WHERE {o['field']} IS NOT NULL)"
+            f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {to} WHERE {key} IS NOT NULL)"
         )
-    present = f"WHERE {col} IS NOT NULL" if c.kind == checks.UNIQUE else ""
-    return (
-        f"SELECT count(*) FROM (SELECT 1 FROM {c.model} {present} GROUP BY {col}"
-        " HAVING count(*) > 1)"
-    )
+    present = f"WHERE {column} IS NOT NULL" if kind == "unique" else ""
+    return f"SELECT count(*) FROM (SELECT 1 FROM {model} {present} GROUP BY {column} HAVING count(*) > 1)"
 
 
 def _suite() -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c.model}' AS model, '{c.column}' AS "column", '{c.kind}' AS "check",
-        ({_check_failures(c)}) AS failures, ({_check_failures(c)}) = 0 AS passed"""
-        for c in SUITE
+        f"""SELECT '{c[0]}' AS model, '{c[1]}' AS "column", '{c[2]}' AS "check",
+        ({_check_failures(*c)}) AS failures, ({_check_failures(*c)}) = 0 AS passed"""
+        for c in declared()
     )
 
 
@@ -433,15 +500,27 @@ def _fk(parent: str, pk: str, child: str, fk: str) -> str:
         CAST(NULL AS VARCHAR) AS error FROM raw_{child}"""
 
 
+def _type_name(t: str) -> str:
+    """One set of type names for both engines."""
+    names = {
+        "INTEGER": "int", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>",
+        "TIMESTAMP WITH TIME ZONE": "timestamp",
+    }
+    cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items())
+    return f"CASE {t} {cases} ELSE lower({t}) END"
+
+
 def _catalog_columns() -> str:
     # COLUMNS(*) counts every column of a table, whatever its name.
     parts = []
     for t in TABLES:
         parts.append(
-            f"""SELECT '{t}' AS table_name, column_name, CAST(row_number() OVER () AS INTEGER)
-            AS ordinal, (SELECT count(*) FROM {t}) AS row_count, present
-            FROM (UNPIVOT (SELECT count(COLUMNS(*)) AS '\\0' FROM {t})
-                  ON COLUMNS(*) INTO NAME column_name VALUE present)"""
+            f"""SELECT '{t}' AS table_name, c.column_name, {_type_name("d.column_type")} AS data_type,
+            ordinal, (SELECT count(*) FROM {t}) AS row_count, present
+            FROM (SELECT *, CAST(row_number() OVER () AS INTEGER) AS ordinal
+                  FROM (UNPIVOT (SELECT count(COLUMNS(*)) AS '\\0' FROM {t})
+                        ON COLUMNS(*) INTO NAME column_name VALUE present)) c
+            JOIN (DESCRIBE SELECT * FROM {t}) d ON d.column_name = c.column_name"""
         )
     return " UNION ALL ".join(parts)
 
@@ -550,6 +629,15 @@ BODIES = {
     "column_samples": _sampled(_value_counts("raw_customers", list(CUSTOMER_COLUMNS)), 5),
     "clean_dates_sql": f"""SELECT transaction_id, transaction_date AS raw,
         {_date('transaction_date')} AS parsed FROM raw_transactions""",
+    "clean_dates_written": """SELECT l_orderkey, l_linenumber, CASE
+        WHEN form % 97 = 0 THEN '31 Feb 2020'
+        WHEN form % 5 = 0 THEN strftime(l_shipdate, '%-d %b %Y')
+        WHEN form % 5 = 1 THEN strftime(l_shipdate, '%b %-d, %Y')
+        WHEN form % 5 = 2 THEN strftime(l_shipdate, '%B %-d, %Y')
+        WHEN form % 5 = 3 THEN strftime(l_shipdate, '%-d %B %Y')
+        ELSE strftime(l_shipdate, '%Y%m%d') END AS raw,
+        CASE WHEN form % 97 <> 0 THEN CAST(l_shipdate AS DATE) END AS parsed
+        FROM (SELECT *, l_orderkey + l_linenumber AS form FROM lineitem)""",
     "clean_dates_lib": f"""SELECT transaction_id, {_date_mixed('transaction_date')} AS parsed
         FROM raw_transactions""",
     "detect_date_formats": f"""SELECT transaction_id, {_format('transaction_date')} AS format
@@ -677,7 +765,7 @@ BODIES = {
     "top_value_counts": """SELECT "City" AS value, count(*) AS n FROM raw_customers
         WHERE "City" IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 10""",
     "profile_counts": " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) AS count, count(*) - count({e}) AS missing,
+        f"""SELECT '{c}' AS "column", {_type_name(f"any_value(typeof({e}))")} AS data_type, count(*) AS count, count(*) - count({e}) AS missing,
         round(100.0 * (count(*) - count({e})) / count(*), 6) AS missing_percentage,
         count(DISTINCT {e}) AS unique_values,
         round(100.0 * count(DISTINCT {e}) / count(*), 6) AS unique_percentage,

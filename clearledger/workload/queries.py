@@ -155,7 +155,7 @@ def catalog_tables(spark, folder):
 @query
 def catalog_columns(spark, folder):
     entries = catalog.present_counts(_tables(spark, folder))
-    return entries.select("table_name", "column_name", "ordinal", "row_count", "present")
+    return entries.select("table_name", "column_name", "data_type", "ordinal", "row_count", "present")
 
 
 @query
@@ -233,6 +233,17 @@ def clean_dates_sql(spark, folder):
     return raw.select("transaction_id", text.alias("raw"), parse_date_warehouse(text).alias("parsed"))
 
 
+@query
+def clean_dates_written(spark, folder):
+    """Shipping dates written out in letters or as eight digits, read by the profiling rule."""
+    lines = read_table(spark, folder, "lineitem")
+    form = F.col("l_orderkey") + F.col("l_linenumber")
+    text = raw_feeds.written_date_text(F.col("l_shipdate"), form)
+    return lines.select(
+        "l_orderkey", "l_linenumber", text.alias("raw"), parse_date_mixed(text).alias("parsed")
+    )
+
+
 @query
 def clean_dates_lib(spark, folder):
     raw = raw_feeds.raw_transactions(spark, folder)
@@ -500,7 +511,7 @@ def profile_counts(spark, folder):
     lineitem = read_table(spark, folder, "lineitem").withColumn(
         "l_empty", F.when(F.col("l_orderkey") < 0, F.lit("x"))
     )
-    return rounded(profile.profile_counts(lineitem).drop("data_type"))
+    return rounded(profile.profile_counts(lineitem))
 
 
 @query

@@ -74,6 +74,19 @@ def date_text(value: Column, key: Column, form: Column) -> Column:
     )
 
 
+def written_date_text(value: Column, form: Column) -> Column:
+    """A date with its month in letters or without separators, and a day that does not exist."""
+    written = lambda notation: F.date_format(value, notation)
+    return (
+        F.when(form % 97 == 0, F.lit("31 Feb 2020"))
+        .when(form % 5 == 0, written("d MMM yyyy"))
+        .when(form % 5 == 1, written("MMM d, yyyy"))
+        .when(form % 5 == 2, written("MMMM d, yyyy"))
+        .when(form % 5 == 3, written("d MMMM yyyy"))
+        .otherwise(written("yyyyMMdd"))
+    )
+
+
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("k")
     cases = " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(EMAIL_FORMS))

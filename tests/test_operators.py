@@ -355,3 +355,119 @@ def test_date_and_group_statistics_of_empty_and_single_inputs(spark):
     assert (row["rows"], row.missing, row.future_dates, row.mean_days) == (2, 1, 1, 2.0)
     assert row.std_days is None and row.median_days == 2.0
     assert profile.group_size_stats(one, ["g"]).first().groups == 1
+
+
+# --- hot keys, quantile cells and number of scans -----------------------------------------------
+
+
+@pytest.fixture
+def skewed(spark):
+    """A session that splits skewed joins early and does not broadcast."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, n=60_000):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20_000)
+    return spark.range(0, n, 1, 8).select(key.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_duplicates_are_split(skewed):
+    found = ids.duplicate_records(hot_rows(skewed), "k")
+    sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert "skew=true" in executed(found)
+    assert max(sizes) <= 3 * sum(sizes) / 8
+
+
+def test_rows_beside_many_groups_are_split(skewed, monkeypatch):
+    from clearledger.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    rows = hot_rows(skewed)
+    joined = joins.beside_groups(rows, rows.groupBy("k").agg(F.count("*").alias("n")), ["k"])
+    assert joined.columns == ["k", "id", "t", "n"]
+    grouped = joined.groupBy("k", "n").agg(F.count("*").alias("m"))
+    assert "skew=true" in executed(grouped)
+    assert grouped.filter("n <> m").count() == 0
+
+
+def test_cells_are_even_by_rank(spark):
+    from clearledger.operators import quantiles
+
+    peaks = spark.range(4_000).select(
+        F.lit("v").alias("c"), F.when(F.col("id") < 2_000, F.col("id") / 1e6).otherwise(1e9 + F.col("id")).alias("_value")
+    )
+    celled = quantiles.in_cells(peaks, ["c"], 100)
+    sizes = [r["count"] for r in celled.groupBy("_cell").count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == 4_000
+    order = celled.groupBy("_cell").agg(F.min("_value").alias("a"), F.max("_value").alias("b")).orderBy("_cell").collect()
+    assert all(x.b < y.a for x, y in zip(order[:-1], order[1:]))
+
+
+def test_exact_quantiles_through_many_cells(spark, monkeypatch):
+    from clearledger.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "CELL_VALUES", 20)
+    df = spark.range(3_001).select((F.col("id") % 2).alias("g"), F.when(F.col("id") < 1_500, F.col("id")).otherwise(F.col("id") * 1e6).alias("v"))
+    rows = df.collect()
+    names = {"q1": 0.25, "median": 0.5}
+    for by in ([], ["g"]):
+        for r in quantiles.exact_quantiles(df, ["v"], names, by).collect():
+            own = sorted(x.v for x in rows if not by or x.g == r.g)
+            for name, p in names.items():
+                at = p * (len(own) - 1)
+                low, high = own[int(at)], own[min(int(at) + 1, len(own) - 1)]
+                assert abs(r[name] - (low + (at - int(at)) * (high - low))) < 1e-6
+
+
+def test_reports_scan_their_input_seldom(spark, small):
+    from clearledger.workload.queries import QUERIES
+
+    sizes = {n: spark.read.parquet(f"{small}/{n}.parquet").count() for n in ("orders", "lineitem")}
+    limits = {
+        "profile_numeric": ("orders", 2), "grouped_stats": ("orders", 2), "boxplot_stats": ("orders", 3),
+        "outliers_mad_dates": ("orders", 1), "histogram_dates": ("orders", 2),
+        "check_suite_summary": ("lineitem", 3),
+    }
+    for name, (table, scans) in limits.items():
+        seen = scanned(spark, lambda: QUERIES[name](spark, small).collect(), f"{table}.parquet")
+        assert seen <= scans * sizes[table] * 1.05, (name, seen, sizes[table])
+
+
+def scanned(spark, run, file):
+    """Rows that the scans of a file put out while run() runs, by the plans' own counters."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    total, executions = 0, store.executionsList()
+    for i in range(before, store.executionsCount()):
+        e = executions.apply(i).executionId()
+        values = store.executionMetrics(e)
+        nodes = store.planGraph(e).allNodes()
+        for j in range(nodes.size()):
+            node = nodes.apply(j)
+            if node.name().startswith("Scan parquet") and file in node.desc():
+                metrics = node.metrics()
+                for k in range(metrics.size()):
+                    if metrics.apply(k).name() == "number of output rows":
+                        value = values.get(metrics.apply(k).accumulatorId())
+                        total += int(value.get().replace(",", "")) if value.isDefined() else 0
+    return total

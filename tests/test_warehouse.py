@@ -72,6 +72,46 @@ def test_catalogue_as_json_and_naming(spark, small, tmp_path):
     assert found == {"Age", "Gender", "Address", "City", "Contact Number", "Email"}
 
 
+def test_data_catalogue_of_written_warehouse(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS catalogued")
+    spark.sql("DROP TABLE IF EXISTS catalogued.t")
+    spark.sql("CREATE TABLE catalogued.t (k BIGINT COMMENT 'the key', v STRING) USING parquet COMMENT 'a table'")
+    spark.sql("CREATE OR REPLACE VIEW catalogued.w AS SELECT k FROM catalogued.t")
+    got = [tuple(r) for r in catalog.data_catalogue(spark, ["catalogued"]).collect()]
+    assert got == [
+        ("catalogued", "t", "BASE TABLE", "a table", "k", "bigint", "the key", 1),
+        ("catalogued", "t", "BASE TABLE", "a table", "v", "string", None, 2),
+        ("catalogued", "w", "VIEW", None, "k", "bigint", "the key", 1),
+    ]
+
+
+def test_explore_tables(spark):
+    found = catalog.explore_tables({"a": spark.range(7).coalesce(1), "b": spark.range(0)}, 2)
+    got = sorted((r.table_name, r.row_count, r.place or 0, r.row) for r in found.collect())
+    assert got == [("a", 7, 1, '{"id":0}'), ("a", 7, 2, '{"id":1}'), ("b", 0, 0, None)]
+
+
+def test_run_sql(spark):
+    spark.range(5).createOrReplaceTempView("five")
+    assert tables.run_sql(spark, "SELECT sum(id) AS s FROM five").first().s == 10
+
+
+def test_suite_is_the_declared_one():
+    from collections import Counter
+
+    from clearledger.plans.suite import SUITE
+    from clearledger.workload.oracles import declared
+
+    assert sorted((c.model, c.column, c.kind) for c in SUITE) == sorted(d[:3] for d in declared())
+    assert len(SUITE) == 78
+    assert Counter(c.model for c in SUITE) == {
+        "stg_accounts": 7, "stg_customers": 5, "stg_fx_rates": 6, "stg_loans": 14,
+        "stg_transactions": 6, "int_accounts": 6, "int_customers": 3, "int_fx_rates": 6,
+        "int_loans": 12, "int_transactions": 4, "int_currencies": 2,
+        "customer_transactions_summary": 7,
+    }
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert tables.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
