@@ -86,11 +86,11 @@ def _tokens(part: Column) -> Column:
 
 
 def flatten_parts(df: DataFrame, parts: str = "parts") -> DataFrame:
-    """Add ``body``, ``attachments`` (kind, reference, position, tokens) and ``attachment_tokens``."""
+    """Add ``body``, ``attachments`` (kind, reference, position among the message's known parts,
+    tokens) and ``attachment_tokens``."""
     known = _known(F.col(f"`{parts}`"))
-    attached = F.filter(known, lambda p: p["kind"] != "text")
     records = F.transform(
-        attached,
+        known,
         lambda p, i: F.struct(
             p["kind"].alias("kind"),
             p["reference"].alias("reference"),
@@ -98,13 +98,14 @@ def flatten_parts(df: DataFrame, parts: str = "parts") -> DataFrame:
             _tokens(p).alias("tokens"),
         ),
     )
+    records = F.filter(records, lambda r: r["kind"] != "text")
     df = df.drop("body", "attachments", "attachment_tokens")
     return df.withColumns(
         {
             "body": F.array_join(F.transform(known, _flat), ""),
             "attachments": records,
             "attachment_tokens": F.aggregate(
-                F.transform(attached, _tokens), F.lit(0).cast("long"), lambda a, b: a + b
+                records, F.lit(0).cast("long"), lambda total, r: total + r["tokens"]
             ),
         }
     )

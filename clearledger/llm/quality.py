@@ -30,7 +30,8 @@ from clearledger.llm.bytewords import CHUNK_BYTES, lowered, text_bytes, word_has
 TRAINING_ROWS = 6_000
 BUCKETS = 1 << 12
 FACTORS = 6
-EPOCHS = 8
+#: Steps of the fit, whatever the number of rows.
+STEPS = 300
 BATCH = 256
 RATE = 0.02
 DECAY = 1e-4
@@ -125,7 +126,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]) -> Machine
     params = [m.weight[:, None], m.factor]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for _ in range(EPOCHS):
+    while step < STEPS:
         order = rng.permutation(len(rows))
         for start in range(0, len(order), BATCH):
             take = order[start : start + BATCH]
