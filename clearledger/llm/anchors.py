@@ -37,6 +37,8 @@ from clearledger.llm.bytewords import (
 
 U64 = np.uint64
 PIECE = 1 << 18
+#: Contexts a task remembers, about 150 bytes each.
+REMEMBERED = 500_000
 PLACE_BITS = U64(20)  # a piece with its overlap has fewer units
 ROW = "gram long, context long, doc long, start long, lead int, n int"
 #: What becomes of a row: its windows repeat; it stands for its context; it shares the document
@@ -94,10 +96,39 @@ def anchored(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) ->
         yield row[first], at + first - bounds[row[first]], lead, count, hashes[a], context
 
 
-def anchor_rows(docs: DataFrame, unit: str, window: int, gram: int) -> DataFrame:
-    """A row for each anchor of each document (doc, text)."""
+class _Seen:
+    """Which rows of a task need not meet rows of others: those that rows before settle.
+
+    ``ordered``: a row whose context a smaller document has. Else: a row whose context two rows
+    before have. So a context with very many rows costs each task one or two rows in the shuffle.
+    Forgetting contexts, when there are too many to remember, only costs more such rows."""
+
+    def __init__(self, ordered: bool):
+        self.ordered, self.contexts = ordered, {}
+
+    def settle(self, gram: np.ndarray, context: np.ndarray, doc: np.ndarray) -> list[bool]:
+        if len(self.contexts) > REMEMBERED:
+            self.contexts.clear()
+        seen, out = self.contexts, []
+        for g, c, d in zip(gram.tolist(), context.tolist(), doc.tolist(), strict=True):
+            key = g << 64 | c
+            before = seen.get(key)
+            if self.ordered:
+                out.append(before is not None and before < d)
+                if before is None or d < before:
+                    seen[key] = d
+            else:
+                out.append(before == 2)
+                seen[key] = min((before or 0) + 1, 2)
+        return out
+
+
+def anchor_rows(docs: DataFrame, unit: str, window: int, gram: int, ordered: bool) -> DataFrame:
+    """A row for each anchor of each document (doc, text); ``told`` is true for rows that rows of
+    the same task settle (see ``judged_rows`` for ``ordered``)."""
 
     def made(batches):
+        seen = _Seen(ordered)
         for whole in batches:
             for batch in chunks(whole, 1):
                 doc = np.asarray(batch.column(0))
@@ -107,11 +138,12 @@ def anchor_rows(docs: DataFrame, unit: str, window: int, gram: int) -> DataFrame
                         [
                             pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc[row]),
                             pa.array(start), pa.array(lead.astype(np.int32)), pa.array(n.astype(np.int32)),
+                            pa.array(seen.settle(g, c, doc[row]), pa.bool_()),
                         ],
-                        names=["gram", "context", "doc", "start", "lead", "n"],
+                        names=["gram", "context", "doc", "start", "lead", "n", "told"],
                     )
 
-    return docs.mapInArrow(made, ROW)
+    return docs.mapInArrow(made, f"{ROW}, told boolean")
 
 
 def judged_rows(rows: DataFrame, ordered: bool) -> DataFrame:
@@ -120,7 +152,8 @@ def judged_rows(rows: DataFrame, ordered: bool) -> DataFrame:
     Partitions are sorted by gram, context, document and start, and read as a stream that
     remembers three rows: the first of the gram, the first of the context, and the last. With
     ``ordered`` a row is settled if its context begins in a smaller document; else if any other
-    row has its context. Representatives are told only for grams of several contexts."""
+    row has its context. Representatives are told only for grams of several contexts. Rows already
+    told go to any partition and pass through."""
     names = ["gram", "context", "doc", "start", "lead", "n"]
 
     def judge(batches):
@@ -128,6 +161,10 @@ def judged_rows(rows: DataFrame, ordered: bool) -> DataFrame:
         last_told = first_told = False
         for batch in batches:
             t = np.column_stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
+            told = np.asarray(batch.column("told").to_numpy(zero_copy_only=False), bool)
+            if told.any():
+                yield _judged(t[told], SETTLED, t[told])
+            t = t[~told]
             if not len(t):
                 continue
             carried = last is not None
@@ -168,7 +205,8 @@ def judged_rows(rows: DataFrame, ordered: bool) -> DataFrame:
                 first = t[gram_at[-1] :][:1]
             head, last = heads[-1:], t[-1:]
 
-    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc", "start")
+    place = F.when(F.col("told"), F.xxhash64("doc", "start")).otherwise(F.col("gram"))
+    sorted_rows = rows.repartition(place).sortWithinPartitions("gram", "context", "doc", "start")
     return sorted_rows.mapInArrow(judge, f"what int, {ROW}, twin long")
 
 

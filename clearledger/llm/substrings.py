@@ -84,7 +84,7 @@ def remove_repeated_bytes(
     that also start anywhere else. ``spans`` are the maximal removed runs, ``kept`` the rest."""
     rows = _input(docs, text, key)
     named = rows.where("doc IS NOT NULL")
-    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "byte", window, gram), ordered=False), "judged")
+    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "byte", window, gram, False), ordered=False), "judged")
     settled = judged.where(F.col("what") == anchors.SETTLED).select(
         "doc", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
     )
@@ -166,7 +166,7 @@ def remove_earlier_windows(
     words, joined by one space."""
     rows = _input(docs, text, key)
     named = rows.where("doc IS NOT NULL")
-    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "word", window, gram), ordered=True), "judged")
+    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "word", window, gram, True), ordered=True), "judged")
     settled = judged.where(F.col("what") == anchors.SETTLED).select(
         "doc", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
     )
