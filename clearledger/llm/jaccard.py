@@ -4,9 +4,11 @@ A document is the set of its distinct word shingles. Sets of sizes a and b reach
 if they differ in at most (1 - t) / (1 + t) * (a + b) shingles. Sizes fall in bands that grow by
 1 / t, so a linked pair lies in one band or in two neighbours; band pair i, of bands i and i + 1,
 has a largest difference D(i). For each of its two band pairs a document gets a parity sketch of
-D(i) + 1 words of 64 bits: every shingle flips one bit. The Hamming distance of two sketches never
-exceeds the difference of the sets, so by the pigeonhole principle linked documents agree in a
-word of the sketch. Documents are joined on (band pair, place, word).
+more than D(i) words of 64 bits: every shingle flips one bit. The Hamming distance of two sketches
+never exceeds the difference of the sets, and by the pigeonhole principle no shingle of some word
+differs between linked documents. They are joined on (band pair, place, XOR of the word's shingle
+hashes), which tells more than the word's bits. Words without shingles, which unrelated sets share,
+are left out wherever the numbers show that linked sets must share another.
 
 Classes are found without writing all pairs of a group:
 
@@ -28,6 +30,7 @@ a shingle has, the whole sequence is one shingle. Repeated rows have equal sets
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ from clearledger.llm.tables import written
 WORDS, PERCENT = 5, 80
 #: More than the bands of sizes up to 2**40 at a similarity of 0.95.
 PAIR_MASK = 1023
+FILTER_BITS = 1 << 26
 U64 = np.uint64
 
 
@@ -103,10 +107,33 @@ class Bands:
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, sizes, "right") - 1
 
-    def words(self, pair: int) -> int:
-        """D + 1 for bands pair and pair + 1."""
+    def furthest(self, pair: int) -> int:
+        """D: the largest difference of linked sets of bands pair and pair + 1."""
         small = self.first[pair + 1] - 1
-        return self.most_apart(small + small * 100 // self.percent) + 1
+        return self.most_apart(small + small * 100 // self.percent)
+
+    def words(self, pair: int) -> int:
+        """D + 1, and about as many more as a set leaves empty, so that it need not tell these."""
+        least = self.furthest(pair) + 1
+        apart = (100 - self.percent) / (100 + self.percent)
+        empty = least * math.exp(-0.8 / (apart * (1 + 100 / self.percent))) if apart else 0
+        return least + (math.ceil(empty + 2 * math.sqrt(empty)) if empty >= 0.5 else 0)
+
+
+def told_words(shingles: np.ndarray, n_words: int, furthest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, XOR of the shingles' hashes) of the sketch words to join on.
+
+    Linked sets differ in at most ``furthest`` words, so they agree in n_words - furthest or more.
+    A set with fewer empty words than that agrees in one that is not, and leaves out empty ones."""
+    place = (mix(shingles) % U64(n_words * 64)) >> U64(6)
+    order = np.argsort(place, kind="stable")
+    filled, first = np.unique(place[order], return_index=True)
+    value = np.bitwise_xor.reduceat(mix(shingles[order] + U64(1)), first)
+    if n_words - len(filled) < n_words - furthest:
+        return filled, value
+    whole = np.zeros(n_words, U64)
+    whole[filled.astype(np.int64)] = value
+    return np.arange(n_words, dtype=U64), whole
 
 
 def parity_sketch(shingles: np.ndarray, n_words: int) -> np.ndarray:
@@ -117,7 +144,7 @@ def parity_sketch(shingles: np.ndarray, n_words: int) -> np.ndarray:
 
 
 def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, id): for each set the hash of (band pair, place, word) of both of its sketches. The
+    """(key, id): for each set the hash of (band pair, place, told word) of both of its sketches. The
     band pair stands in the key's low bits.
 
     A task sends a set once, however many of its documents have it."""
@@ -135,11 +162,10 @@ def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sent.add(own)
                     band = int(bands.of(np.array([len(shingles)]))[0])
                     for pair in range(max(band - 1, 0), band + 1):
-                        sketch = parity_sketch(shingles, bands.words(pair))
-                        place = np.arange(len(sketch), dtype=U64) + (U64(pair) << U64(48))
-                        key = mix(mix(sketch) + mix(place)) & ~U64(PAIR_MASK) | U64(pair)
-                        keys.append(key.view(np.int64))
-                        ids.append(np.full(len(sketch), own))
+                        place, value = told_words(shingles, bands.words(pair), bands.furthest(pair))
+                        key = mix(mix(value) + mix(place + (U64(pair) << U64(48))))
+                        keys.append((key & ~U64(PAIR_MASK) | U64(pair)).view(np.int64))
+                        ids.append(np.full(len(place), own))
                 if keys:
                     yield _batch(key=np.concatenate(keys), id=np.concatenate(ids))
 
@@ -339,7 +365,7 @@ def similarity_classes(
         members.where("n_shingles > 0 AND doc IS NOT NULL").groupBy("id").agg(F.min("doc").alias("rep")), "reps"
     )
     shared = written(shared_keys(join_keys(rows.where("doc IS NOT NULL"), n, percent)), "shared")
-    involved = shared.select("id").distinct().join(reps, "id")
+    involved = written(shared.select("id").distinct().join(reps, "id"), "involved")
     texts = written(_texts_of(involved, rows, linked), "texts")
     # each set with the leader it shares most keys with
     counted = shared.where("id <> leader").groupBy("id", "leader").count()
@@ -348,14 +374,18 @@ def similarity_classes(
     links = written(verified(best, texts, linked), "linked")
     # within keys that still hold several components: the nearest pairs, then every pair left
     sketches = written(sketches_of(texts, linked), "sketches")
-    tested = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    for every in (False, True):
-        rows_left = _open_rows(shared, written(components(links), "components"))
-        inside = rows_left.join(sketches, ["id", "pair"])
-        pairs = near_pairs(inside, percent, every).join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = tested.union(pairs)
-        links = links.union(written(verified(pairs, texts, linked), "linked"))
+    open_rows = _open_rows(shared, written(components(links), "components")).join(sketches, ["id", "pair"])
+    pairs = written(near_pairs(open_rows, percent, every=False), "pairs")
+    good = written(verified(pairs, texts, linked), "linked")
+    links = links.union(good)
+    # A pair taken for linked that is not may have hidden others in the keys of its sets
+    failed = written(pairs.join(good, ["a", "b"], "left_anti"), "failed")
+    if failed.limit(1).count():
+        known = written(components(links), "components")
+        again = shared.join(failed.select(F.col("a").alias("id")).distinct(), "id").select("key").distinct()
+        open_rows = _open_rows(shared.join(again, "key", "left_semi"), known).join(sketches, ["id", "pair"])
+        rest = near_pairs(open_rows, percent, every=True).join(failed, ["a", "b"], "left_anti")
+        links = links.union(written(verified(written(rest, "pairs"), texts, linked), "linked"))
     # the same graph with documents as nodes, whose smallest is the class
     as_docs = links.join(reps.toDF("a", "x"), "a").join(reps.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     classes = written(components(as_docs), "classes")
@@ -388,6 +418,33 @@ def _open_rows(shared: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+def _likely(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows whose document is, or by its hash may be, the representative of a set, so that few
+    texts are shuffled to meet them. One bit a hash: ``FILTER_BITS`` of them are broadcast, however
+    many sets there are; the join that follows does not rely on it."""
+
+    def place(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+
+    bitmaps = (
+        sets.groupBy(F.bitmap_bucket_number(place("rep")).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("rep"))).alias("bits"))
+        .collect()  # FILTER_BITS / 8 bytes at most
+    )
+    whole = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in bitmaps:
+        bits = np.frombuffer(r.bits, np.uint8)
+        whole[(r.bucket - 1) * len(bits) : r.bucket * len(bits)] = bits
+    shared = rows.sparkSession.sparkContext.broadcast(whole)
+
+    @F.arrow_udf("boolean")
+    def may_be(places: pa.Array) -> pa.Array:
+        at = np.asarray(places) - 1
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return rows.where(may_be(place("doc")))
+
+
 def _texts_of(sets: DataFrame, rows: DataFrame, linked: Linked) -> DataFrame:
     """(id, text) of each set (id, rep); of rows that share a document id, one that has the set."""
 
@@ -396,8 +453,9 @@ def _texts_of(sets: DataFrame, rows: DataFrame, linked: Linked) -> DataFrame:
         said = texts.cast(pa.large_binary()).to_pylist()
         return pa.array([_set_id(linked.set_of(t or b"")) == i for i, t in zip(ids.to_pylist(), said, strict=True)])
 
-    of = sets.join(rows, F.col("rep") == F.col("doc")).select("id", "text")
-    return of.where(has_set("id", "text")).dropDuplicates(["id"])
+    of = sets.join(_likely(rows, sets), F.col("rep") == F.col("doc")).withColumn("hash", F.xxhash64("text"))
+    once = of.dropDuplicates(["rep", "id", "hash"])  # the rows lie by rep already
+    return once.where(has_set("id", "text")).select("id", "text")
 
 
 def _with_component(df: DataFrame, known: DataFrame, column: str, into: str) -> DataFrame:
