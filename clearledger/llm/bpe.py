@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 #: The pretoken pattern of byte-level tokenizers (a fixed value).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Distinct pretokens a worker remembers; others are encoded again when they come again.
-REMEMBERED = 700_000
+#: Distinct pretokens, and pairs of tokens, that a worker remembers (some 50 MB together); others
+#: are worked out again when they come again.
+REMEMBERED = 150_000
 LATE = 1 << 40
 
 
@@ -40,9 +41,10 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens, merges and special tokens of a byte-level tokenizer file."""
+    """Tokens, merges and special tokens of a byte-level tokenizer file; without ``encodes`` only
+    what decoding needs."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, encodes: bool = True):
         data = json.loads(source)
         letters = byte_letters()
         spelled = lambda s: bytes(letters[c] for c in s)
@@ -55,6 +57,11 @@ class Vocabulary:
                 self.token[i] = spelled(name)
         for name, i in self.special.items():
             self.token[i] = name.encode()
+        self.offsets = np.zeros(size + 1, np.int64)
+        np.cumsum([len(t) for t in self.token], out=self.offsets[1:])
+        self.blob = np.frombuffer(b"".join(self.token), np.uint8)
+        if not encodes:
+            return
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         self.halves: dict[int, tuple[int, int, int]] = {}
         for rank, merge in enumerate(data["model"]["merges"]):
@@ -62,10 +69,7 @@ class Vocabulary:
             a, b, made = ids[left], ids[right], ids[left + right]
             self.pairs[a, b] = (rank, made)
             self.halves.setdefault(made, (rank, a, b))
-        self.offsets = np.zeros(size + 1, np.int64)
-        np.cumsum([len(t) for t in self.token], out=self.offsets[1:])
-        self.blob = np.frombuffer(b"".join(self.token), np.uint8)
-        self._fitting: dict[tuple[int, int], bool] = {}
+        self._fitting: dict[int, bool] = {}
         self.find = ahocorasick.Automaton()
         special = set(self.special.values())
         for i, t in enumerate(self.token):
@@ -91,7 +95,7 @@ class Vocabulary:
 
         A merge across the border happens if both parts exist at its rank and neither has been
         taken up before; at equal rank the leftmost pair goes first."""
-        known = self._fitting.get((a, b))
+        known = self._fitting.get(a << 32 | b)
         if known is not None:
             return known
         good = True
@@ -102,7 +106,7 @@ class Vocabulary:
                 if pair and max(x_made, y_made) < pair[0] < x_until and pair[0] <= y_until:
                     good = False
         if len(self._fitting) < REMEMBERED:
-            self._fitting[a, b] = good
+            self._fitting[a << 32 | b] = good
         return good
 
     def matches(self, text: str) -> list[list[int]]:
@@ -171,15 +175,15 @@ class _Packed(dict):
         return packed
 
 
-_loaded: dict[int, Vocabulary] = {}
+_loaded: dict[tuple[int, bool], Vocabulary] = {}
 
 
-def _vocabulary(source) -> Vocabulary:
+def _vocabulary(source, encodes: bool) -> Vocabulary:
     """The vocabulary of a broadcast file, built once a worker."""
-    key = hash(source.value)
+    key = hash(source.value), encodes
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Vocabulary(source.value)
+        _loaded[key] = Vocabulary(source.value, encodes)
     return _loaded[key]
 
 
@@ -195,7 +199,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", into: str = "ids")
 
     @F.arrow_udf("binary")
     def packed(column: pa.Array) -> pa.Array:
-        vocabulary = _vocabulary(source)
+        vocabulary = _vocabulary(source, True)
         return pa.array([vocabulary.encode(t) for t in _texts(column)], pa.binary())
 
     return df.withColumn(into, packed(F.col(f"`{text}`")))
@@ -207,7 +211,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", into: str = "decoded
 
     @F.arrow_udf("string")
     def unpacked(column: pa.Array) -> pa.Array:
-        vocabulary = _vocabulary(source)
+        vocabulary = _vocabulary(source, False)
         return pa.array(
             [vocabulary.decode(b or b"").decode("utf-8", "replace") for b in column.to_pylist()], pa.string()
         )
