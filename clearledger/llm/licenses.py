@@ -204,7 +204,7 @@ def training_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     kept = F.array_join(
         F.filter(F.split("t", " "), lambda w, i: F.pmod(F.xxhash64(w, i, F.col("id")), F.lit(14)) > F.when(F.col("id") < 8, -1).otherwise(0)), " "
     )
-    varied = templates.crossJoin(F.broadcast(spark.range(VARIANTS))).select(  # two fixed lists
+    varied = templates.withColumn("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(VARIANTS - 1)))).select(
         F.concat(
             F.when(chance(1, 3) == 0, F.concat(word(2), F.lit(" "), word(3), F.lit(" "))).otherwise(""),
             F.when(chance(4, 8) == 0, F.upper(kept)).otherwise(kept),
