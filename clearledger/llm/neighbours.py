@@ -11,7 +11,8 @@ precision on the vectors given.
 Every vector is indexed. Equal vectors are one candidate with the ``k + 1`` smallest ids: no query
 can need more, as ties go to the smaller id. Buckets are dealt over cells of about ``CELL_ROWS``
 rows; a cell with more rows or queries than a task should hold is cut into blocks, each block of
-queries meeting each block of rows. Queries with fewer than k candidates are searched again over
+queries meeting each block of rows. A cell gives each query one list of k, whatever the number of
+tables and buckets in it. Queries with fewer than k candidates are searched again over
 all rows, in blocks, so they are exact.
 
 Defaults suit vectors of little contrast (neighbours at a cosine of 0.3 to 0.5), where most rows
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from clearledger.llm.tables import written
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 6, 6, 2.0, 40
-CELL_ROWS, BLOCK_ROWS, BLOCK_QUERIES = 16_384, 32_768, 4_096
+CELL_ROWS, BLOCK_ROWS, BLOCK_QUERIES = 65_536, 131_072, 4_096
 SEED = 5
 FOUND = "query_id long, vec_id long, score double"
 
@@ -106,7 +107,8 @@ def _matrix(column: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _hashed(df: DataFrame, own: str, own_type: str, largest: float, cells: int, settings, probes: int) -> DataFrame:
-    """(cell, buckets, own, vector): a row for each table and cell that a point lies in or probes."""
+    """(cell, buckets, own, vector): a row for each cell that holds buckets, of any table, that a
+    point lies in or probes."""
     tables, projections, width = settings
     known: dict[int, Hashes] = {}
 
@@ -117,28 +119,26 @@ def _hashed(df: DataFrame, own: str, own_type: str, largest: float, cells: int,
                 more = np.zeros(len(x)) if probes else np.sqrt(np.maximum(largest - (x * x).sum(axis=1), 0))
                 points = np.column_stack([x, more])
                 take = batch.take(pa.array(rows))
+                of: list[dict[int, list[int]]] = [{} for _ in range(len(x))]
                 for table in range(tables):
                     place = h.places(points, table)
                     base = np.floor(place).astype(np.int64)
                     key = h.keys(base, table)
-                    row, cell, buckets = [], [], []
                     for i in range(len(x)):
-                        of: dict[int, list[int]] = {}
                         for steps in probe_order(place[i] - base[i], probes) if probes else [()]:
                             k = int(key[i])
                             for j, step in steps:
                                 k += step * int(h.multiply[table, j])
                             k = (k + 2**63) % 2**64 - 2**63
-                            of.setdefault(k % cells * tables + table, []).append(k)
-                        for c, ks in of.items():
-                            row.append(i)
-                            cell.append(c)
-                            buckets.append(ks)
-                    again = take.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell, pa.int64()), pa.array(buckets, pa.list_(pa.int64())), again.column(own), again.column("vector")],
-                        names=["cell", "buckets", own, "vector"],
-                    )
+                            of[i].setdefault(k % cells, []).append(k)
+                row = [i for i, own_cells in enumerate(of) for _ in own_cells]
+                cell = [c for own_cells in of for c in own_cells]
+                buckets = [b for own_cells in of for b in own_cells.values()]
+                again = take.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell, pa.int64()), pa.array(buckets, pa.list_(pa.int64())), again.column(own), again.column("vector")],
+                    names=["cell", "buckets", own, "vector"],
+                )
 
     return df.select(own, "vector").mapInArrow(made, f"cell long, buckets array<long>, {own} {own_type}, vector array<double>")
 
@@ -151,7 +151,8 @@ def _best_of(k: int):
         if queries.num_rows and rows.num_rows:
             queries, rows = queries.combine_chunks(), rows.combine_chunks()
             one = lambda t, c: t.column(c).chunk(0)
-            bucket = np.array([b[0] for b in one(rows, "buckets").to_pylist()])
+            lists = one(rows, "buckets")
+            bucket, holder = np.asarray(lists.flatten()), np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
             ids = one(rows, "ids").to_pylist()
             asked: dict[int, list[int]] = {}
             for i, buckets in enumerate(one(queries, "buckets").to_pylist()):
@@ -163,23 +164,27 @@ def _best_of(k: int):
                 if n not in of_length:
                     continue
                 x_rows, x = of_length[n]
-                order = np.argsort(bucket[x_rows], kind="stable")
-                x_rows, x = x_rows[order], x[order]
-                sorted_bucket = bucket[x_rows]
+                place = np.full(rows.num_rows, -1)
+                place[x_rows] = np.arange(len(x_rows))
+                inside = np.flatnonzero(place[holder] >= 0)
+                inside = inside[np.argsort(bucket[inside], kind="stable")]
+                sorted_bucket, members = bucket[inside], place[holder[inside]]
                 at = {int(i): j for j, i in enumerate(q_rows)}
-                heaps: dict[int, list[tuple[float, int]]] = {}
+                heaps: dict[int, dict[int, float]] = {}
                 for b, whole in asked.items():
                     lo, hi = np.searchsorted(sorted_bucket, [b, b + 1]) if b < 2**63 - 1 else (0, 0)
                     chosen = [at[i] for i in whole if i in at]
                     if lo == hi or not chosen:
                         continue
+                    some_x = x[members[lo:hi]]
+                    own_ids = [ids[x_rows[m]] for m in members[lo:hi]]
                     for part in range(0, len(chosen), 256):
                         some = chosen[part : part + 256]
-                        near = q[some] @ x[lo:hi].T
+                        near = q[some] @ some_x.T
                         for j, line in zip(some, near, strict=True):
-                            heaps.setdefault(j, []).extend(_nearest(line, q[j], x, x_rows, lo, ids, names[q_rows[j]], k))
+                            heaps.setdefault(j, {}).update(_nearest(line, q[j], some_x, own_ids, names[q_rows[j]], k))
                 for j, found in heaps.items():
-                    best = heapq.nsmallest(k, ((-s, i) for s, i in found))
+                    best = heapq.nsmallest(k, ((-s, i) for i, s in found.items()))
                     out += [(int(names[q_rows[j]]), i, -s) for s, i in best]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
@@ -187,16 +192,16 @@ def _best_of(k: int):
     return ranked
 
 
-def _nearest(line, query, x, x_rows, lo, ids, own, k):
-    """(score, id) of the rows that can be among the k best, scored one row at a time the same way
+def _nearest(line, query, x, ids, own, k) -> dict[int, float]:
+    """Scores by id of the rows that can be among the k best, scored one row at a time the same way
     wherever the row lies, so that equal vectors tie."""
     if len(line) > k:
         least = np.partition(line, len(line) - k - 1)[-k - 1]
         rows = np.flatnonzero(line >= least - 1e-9 * (1 + abs(least)))
     else:
         rows = np.arange(len(line))
-    score = (x[lo + rows] * query).sum(axis=1)
-    return [(float(s), i) for r, s in zip(rows, score, strict=True) for i in ids[x_rows[lo + r]] if i != own]
+    score = (x[rows] * query).sum(axis=1)
+    return {i: float(s) for r, s in zip(rows, score, strict=True) for i in ids[r] if i != own}
 
 
 def _search(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
@@ -238,7 +243,7 @@ def nearest(
     (an expression on ``vec_id``), among all other rows."""
     points = written(usable(df, key, vector), "vectors")
     n, largest = points.agg(F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
-    cells = max(1, math.ceil((n or 0) / CELL_ROWS))
+    cells = max(1, math.ceil((n or 0) * tables / CELL_ROWS))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     rows = (
         points.withColumn("place", place)
