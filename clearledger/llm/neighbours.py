@@ -1,7 +1,10 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
-Inner products become distances by one more coordinate: a candidate x gets sqrt(M - |x|^2), M being
-the largest squared norm, a query gets 0; then the nearest point has the largest inner product. A
+Candidates fall in bands of nearly equal norms. In a band of largest norm m a candidate x becomes
+x / m with one more coordinate, sqrt(1 - |x / m|^2), and a query q becomes q / |q| with 0; both have
+length 1, whatever the norms given, and the nearest point has the largest inner product. A long row
+has a band of its own and moves no other row. Rows of bands too small for hashing (``SMALL_BAND``)
+and norms that double precision cannot square are met by every query. A
 table hashes a point by K projections on normal (2-stable) directions, cut in steps of a width. A
 query looks into its own bucket and into those next to it in the order of their estimated success:
 the sum of squared distances from the query to the borders that a set of steps crosses, smallest
@@ -12,8 +15,10 @@ Every vector is indexed. Equal vectors are one candidate with the ``k + 1`` smal
 can need more, as ties go to the smaller id. Buckets are dealt over cells of about ``CELL_ROWS``
 rows; a cell with more rows or queries than a task should hold is cut into blocks, each block of
 queries meeting each block of rows. A cell gives each query one list of k, whatever the number of
-tables and buckets in it. Queries with fewer than k candidates are searched again over
-all rows, in blocks, so they are exact.
+tables and buckets in it. A query is searched again over all rows, in blocks, and so is exact, if it
+has fewer than k candidates, or if its probes tell too little: for a row as good as its k-th
+candidate the chance to lie in a probed bucket of some table is worked out for every band that can
+hold such a row, and must be ``SUCCESS`` or more.
 
 Defaults suit vectors of little contrast (neighbours at a cosine of 0.3 to 0.5), where most rows
 have to be visited for a recall over 0.9; raise ``projections`` and lower ``probes`` for others.
@@ -37,6 +42,10 @@ from clearledger.llm.tables import written
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 6, 6, 2.0, 40
 CELL_ROWS, BLOCK_ROWS, BLOCK_QUERIES = 65_536, 131_072, 4_096
+#: Bands for each doubling of the squared norm, and the rows from which a band is hashed.
+BANDS, SMALL_BAND = 4, 64
+NO_BAND, EVERYBODY = 1 << 20, 0
+SUCCESS = 0.75
 SEED = 5
 FOUND = "query_id long, vec_id long, score double"
 
@@ -85,6 +94,7 @@ class Hashes:
         self.shift = rng.random((tables, projections)) * width
         self.multiply = (rng.integers(1, 2**62, (tables, projections)) | 1).astype(np.int64)
         self.offset = rng.integers(1, 2**62, tables).astype(np.int64) + dims
+        self.of_band = int(rng.integers(1, 2**62)) | 1
 
     def places(self, points: np.ndarray, table: int) -> np.ndarray:
         return (points @ self.directions[table] + self.shift[table]) / self.width
@@ -106,9 +116,52 @@ def _matrix(column: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return out
 
 
-def _hashed(df: DataFrame, own: str, own_type: str, largest: float, cells: int, settings, probes: int) -> DataFrame:
+def _signed(key: int) -> int:
+    return (key + 2**63) % 2**64 - 2**63
+
+
+def norm_band(squared: np.ndarray) -> np.ndarray:
+    """The band of squared norms; ``NO_BAND`` where they over- or underflow. Length 1 is mid-band."""
+    fits = (squared > 1e-290) & (squared < 1e290)
+    return np.where(fits, np.floor(np.log2(np.where(fits, squared, 1)) * BANDS + 0.5), NO_BAND).astype(np.int64)
+
+
+def _bands(rows: DataFrame) -> dict[int, dict[int, float]]:
+    """For each vector length the bands that are hashed, with their largest squared norms."""
+
+    def told(batches):
+        for batch in batches:
+            for dims, _, x in _matrix(batch.column("vector")):
+                with np.errstate(over="ignore"):
+                    squared = (x * x).sum(axis=1)
+                band = norm_band(squared)
+                for b in np.unique(band[band != NO_BAND]):
+                    own = squared[band == b]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], t) for v, t in ((dims, pa.int64()), (int(b), pa.int64()), (len(own), pa.int64()), (own.max(), pa.float64()))],
+                        names=["dims", "band", "n", "largest"],
+                    )
+
+    parts = rows.select("vector").mapInArrow(told, "dims long, band long, n long, largest double")
+    out: dict[int, dict[int, float]] = {}
+    for r in parts.groupBy("dims", "band").agg(F.sum("n").alias("n"), F.max("largest").alias("m")).where(F.col("n") >= SMALL_BAND).collect():
+        out.setdefault(r.dims, {})[r.band] = r.m
+    return out
+
+
+def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to length 1, and their lengths, also where squares would overflow."""
+    most = np.abs(x).max(axis=1)
+    x = x / most[:, None]
+    norm = np.sqrt((x * x).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return x / norm[:, None], most * norm
+
+
+def _hashed(df: DataFrame, own: str, own_type: str, bands, cells: int, settings, probes: int) -> DataFrame:
     """(cell, buckets, own, vector): a row for each cell that holds buckets, of any table, that a
-    point lies in or probes."""
+    point lies in or probes. Rows outside the hashed bands lie in the bucket ``EVERYBODY``, which
+    all queries probe."""
     tables, projections, width = settings
     known: dict[int, Hashes] = {}
 
@@ -116,21 +169,36 @@ def _hashed(df: DataFrame, own: str, own_type: str, largest: float, cells: int,
         for batch in batches:
             for dims, rows, x in _matrix(batch.column("vector")):
                 h = known.setdefault(dims, Hashes(dims, tables, projections, width))
-                more = np.zeros(len(x)) if probes else np.sqrt(np.maximum(largest - (x * x).sum(axis=1), 0))
-                points = np.column_stack([x, more])
                 take = batch.take(pa.array(rows))
                 of: list[dict[int, list[int]]] = [{} for _ in range(len(x))]
-                for table in range(tables):
+                hashed = bands.get(dims, {})
+                if probes:
+                    points = np.column_stack([_unit(x)[0], np.zeros(len(x))])
+                    own_bands, apart = [[b * h.of_band for b in hashed]] * len(x), range(len(x))
+                else:
+                    with np.errstate(over="ignore"):
+                        squared = (x * x).sum(axis=1)
+                    band = norm_band(squared).tolist()
+                    apart = [i for i, b in enumerate(band) if b not in hashed]
+                    own_bands = [[b * h.of_band] if b in hashed else [] for b in band]
+                    largest = np.array([hashed.get(b, np.inf) for b in band])
+                    points = np.column_stack([x / np.sqrt(largest)[:, None], np.sqrt(np.maximum(1 - squared / largest, 0))]) if hashed else np.zeros((len(x), dims + 1))
+                for i in apart:
+                    of[i].setdefault(EVERYBODY % cells, []).append(EVERYBODY)
+                for table in range(tables if hashed else 0):
                     place = h.places(points, table)
                     base = np.floor(place).astype(np.int64)
                     key = h.keys(base, table)
                     for i in range(len(x)):
+                        if not own_bands[i]:
+                            continue
                         for steps in probe_order(place[i] - base[i], probes) if probes else [()]:
                             k = int(key[i])
                             for j, step in steps:
                                 k += step * int(h.multiply[table, j])
-                            k = (k + 2**63) % 2**64 - 2**63
-                            of[i].setdefault(k % cells, []).append(k)
+                            for b in own_bands[i]:
+                                bucket = _signed(k + b)
+                                of[i].setdefault(bucket % cells, []).append(bucket)
                 row = [i for i, own_cells in enumerate(of) for _ in own_cells]
                 cell = [c for own_cells in of for c in own_cells]
                 buckets = [b for own_cells in of for b in own_cells.values()]
@@ -204,6 +272,56 @@ def _nearest(line, query, x, ids, own, k) -> dict[int, float]:
     return {i: float(s) for r, s in zip(rows, score, strict=True) for i in ids[r] if i != own}
 
 
+def success(place: np.ndarray, steps: list[tuple[tuple[int, int], ...]], at: np.ndarray, cosine: float, width: float) -> float:
+    """The chance that a point at a cosine to a query lies in one of the buckets probed in a table.
+
+    ``at`` has the query's projections, ``place`` where they lie in their bucket (0 to 1). Those of
+    the point are normal around cosine * at, as directions are."""
+    spread = math.sqrt(max(1 - cosine * cosine, 1e-12)) * math.sqrt(2)
+    edge = (np.arange(-1, 3)[:, None] - place) * width + at * (1 - cosine)
+    below = np.array([[math.erf(e / spread) for e in line] for line in edge]) / 2
+    inside = below[1:] - below[:-1]  # by step -1, 0, 1
+    total = 0.0
+    for probe in steps:
+        step = np.ones(len(at), np.int64)
+        for j, by in probe:
+            step[j] += by
+        total += float(inside[step, np.arange(len(at))].prod())
+    return min(total, 1.0)
+
+
+def _unsure(scored: DataFrame, bands, settings, probes: int) -> DataFrame:
+    """The queries (vec_id, vector, least: the score of the k-th candidate) whose probes would miss
+    an equally good row too often."""
+    tables, projections, width = settings
+    known: dict[int, Hashes] = {}
+
+    def told(batches):
+        for batch in batches:
+            least = np.asarray(batch.column("least"))
+            keep = np.zeros(batch.num_rows, bool)
+            for dims, rows, x in _matrix(batch.column("vector")):
+                h = known.setdefault(dims, Hashes(dims, tables, projections, width))
+                unit, norm = _unit(x)
+                points = np.column_stack([unit, np.zeros(len(x))])
+                places = [h.places(points, t) for t in range(tables)]
+                for i, row in enumerate(rows):
+                    # every band is probed alike, so the one of the longest rows has the least chance
+                    largest = max(bands.get(dims, {}).values(), default=0.0)
+                    cosine = float(least[row] / norm[i] / math.sqrt(largest)) if largest else 1.0
+                    if cosine >= 1:
+                        continue
+                    missed = 1.0
+                    for t in range(tables):
+                        place = places[t][i] - np.floor(places[t][i])
+                        at = points[i] @ h.directions[t]
+                        missed *= 1 - success(place, probe_order(place, probes), at, max(cosine, -1.0), width)
+                    keep[row] = not 1 - missed >= SUCCESS
+            yield batch.select(["vec_id", "vector"]).filter(pa.array(keep))
+
+    return scored.select("vec_id", "vector", "least").mapInArrow(told, "vec_id long, vector array<double>")
+
+
 def _search(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """Up to k candidates for each query, block by block of each cell."""
     of_rows = rows.groupBy("cell").agg(F.count("*").alias("n"))
@@ -242,8 +360,8 @@ def nearest(
     """(query_id, rank, vec_id, score): the k nearest found of each row where ``is_query`` holds
     (an expression on ``vec_id``), among all other rows."""
     points = written(usable(df, key, vector), "vectors")
-    n, largest = points.agg(F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
-    cells = max(1, math.ceil((n or 0) * tables / CELL_ROWS))
+    n = points.count()
+    cells = max(1, math.ceil(n * tables / CELL_ROWS))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     rows = (
         points.withColumn("place", place)
@@ -254,21 +372,28 @@ def nearest(
     rows = written(rows, "candidates")
     queries = points.where(is_query)
     settings = (tables, projections, width)
-    index = _hashed(rows, "ids", "array<long>", largest or 0.0, cells, settings, 0)
-    probing = _hashed(queries, "vec_id", "long", largest or 0.0, cells, settings, probes)
+    bands = _bands(rows)
+    index = _hashed(rows, "ids", "array<long>", bands, cells, settings, 0)
+    probing = _hashed(queries, "vec_id", "long", bands, cells, settings, probes)
     found = written(_search(probing, index, k), "found")
-    # queries with too few: all rows are one bucket
-    have = found.groupBy("query_id").agg(F.count("*").alias("have"))
-    short = (
-        queries.join(have, F.col("vec_id") == F.col("query_id"), "left")
-        .where((F.coalesce("have", F.lit(0)) < k) & (F.coalesce("have", F.lit(0)) < F.lit(n or 0) - 1))
-        .select(F.lit(0).cast("long").alias("cell"), F.array(F.lit(0).cast("long")).alias("buckets"), "vec_id", "vector")
+    # queries with too few or unsure candidates: all rows are one bucket
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    have = (
+        found.withColumn("rank", F.row_number().over(by_query))
+        .where(F.col("rank") <= k)
+        .groupBy("query_id")
+        .agg(F.count("*").alias("have"), F.min("score").alias("least"))
+    )
+    scored = queries.join(have, F.col("vec_id") == F.col("query_id"), "left").withColumn("have", F.coalesce("have", F.lit(0)))
+    few = scored.where((F.col("have") < k) & (F.col("have") < F.lit(n) - 1)).select("vec_id", "vector")
+    unsure = _unsure(scored.where(F.col("have") >= k), bands, settings, probes)
+    short = written(few.union(unsure), "short").select(
+        F.lit(0).cast("long").alias("cell"), F.array(F.lit(0).cast("long")).alias("buckets"), "vec_id", "vector"
     )
     everything = rows.select(
         F.lit(0).cast("long").alias("cell"), F.array(F.lit(0).cast("long")).alias("buckets"), "ids", "vector"
     )
     whole = found.union(_search(short, everything, k)).dropDuplicates(["query_id", "vec_id"])
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         whole.withColumn("rank", F.row_number().over(by_query))
         .where(F.col("rank") <= k)

@@ -57,3 +57,33 @@ def test_probes_come_by_success():
     order = neighbours.probe_order(place, 20)
     cost = [sum((place[i] if s < 0 else 1 - place[i]) ** 2 for i, s in p) for p in order]
     assert order[0] == () and cost == sorted(cost) and len(set(order)) == len(order)
+
+
+def test_recall_whatever_the_norms(spark):
+    rng = np.random.default_rng(7)
+    unit = rng.normal(size=(4000, 64))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    outlier = unit.copy()
+    outlier[3] *= 4
+    spread = unit * rng.uniform(1, 2, 4000)[:, None]
+    for x in (unit, unit * 2, spread, outlier, unit * 1e140):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got: dict = {}
+        for r in neighbours.nearest(df, F.col("vec_id") % 40 == 0).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        small = x / np.abs(x).max()
+        near = small[::40] @ small.T
+        near[np.arange(100), np.arange(0, 4000, 40)] = -np.inf
+        truth = np.argsort(-near, axis=1)[:, :20]
+        assert np.mean([len(got[40 * i] & set(t.tolist())) / 20 for i, t in enumerate(truth)]) >= 0.9
+
+
+def test_queries_with_poor_probes_are_searched_in_full(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 16)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 300 == 0, k=2, tables=1, projections=3, probes=1).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    truth = brute(rows, 2, lambda i: i % 300 == 0)
+    assert {q: sorted(v) for q, v in found.items()} == {q: sorted(i for i, _ in v) for q, v in truth.items()}
