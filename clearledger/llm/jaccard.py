@@ -58,8 +58,11 @@ def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     for a, b in zip(first[:-1], first[1:], strict=True):
         if b - a >= n:
             out.append(np.unique(rolled[a : b - n + 1]))
-        elif b > a:  # the whole sequence; its length keeps it apart from full shingles
-            out.append(mix(np.array([U64(len(h[a:b]))]) + mix(h[a:b] * U64(3)).cumsum(dtype=U64)[-1:]))
+        elif b > a:  # the whole sequence in its order; its length keeps it apart from full shingles
+            whole = np.array([b - a], U64)
+            for i in range(a, b):
+                whole = mix(whole + h[i : i + 1])
+            out.append(whole)
         else:
             out.append(np.zeros(0, U64))
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import re
-from itertools import combinations
+from itertools import combinations, permutations
 
 import pytest
 
@@ -86,3 +86,12 @@ def test_distance_never_exceeds_difference():
         y = np.concatenate([x[: rng.integers(0, 200)], rng.integers(0, 2**63, 20, np.uint64)])
         apart = np.bitwise_count(jaccard.parity_sketch(x, 5) ^ jaccard.parity_sketch(y, 5)).sum()
         assert apart <= len(np.setxor1d(x, y))
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_order_of_short_texts_counts(spark, n, percent):
+    said = [" ".join(p) for k in (1, 2, 3, 4) for p in permutations(["foo", "bar", "Baz", "foo"][:k])]
+    rows = list(enumerate(said + ["FOO bar", "bar  foo", "foo foo", "foo", "foo bar baz foo"], start=1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.similarity_classes(docs, n=n, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, n, percent)
