@@ -3,9 +3,12 @@
 A seed takes the words at the marked places of a fixed mask and ignores the others, so a
 substituted word spoils only the seeds that look at it. Seeds of benchmark items are indexed by
 hash; every place of every document is hashed by every mask and looked up. A hit gives an item and
-a shift against the document; along that shift the words are compared, and the best-scoring
-stretch (a match counts 1, a substitution ``-PENALTY``) is an overlap if it holds at least
-``LEAST_WORDS`` equal words, or all words of a shorter item.
+a shift against the document; along that shift the words are compared, and the stretch with most
+equal words among those where they make up at least ``SHARE`` of the words (the shorter one if
+equal) is an overlap if it holds at least ``LEAST_WORDS`` equal words, or that share of an item of
+few more, or all words of a shorter one. However the substitutions lie in a stretch, only their share counts. A best-scoring stretch
+(a match counts 1, a substitution ``-PENALTY``, the longer one on ties) is taken where none has
+that share.
 
 Words are runs of letters and digits, lower-cased in A-Z. Items shorter than a mask are looked up
 as they are; items of fewer than ``SHORTEST`` words are left out, as chance would find them. The
@@ -33,6 +36,7 @@ MASKS = ("11101001011", "11011000111", "10110110011")
 LEAST_WORDS = 13
 SHORTEST = 6
 PENALTY = 4
+SHARE = 0.75
 BLOCK_BYTES = 8 << 20
 BLOCKS_IN_A_ROW = 4
 FILTER_BITS = 22
@@ -59,6 +63,40 @@ def _seeds(h: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return mix(total)
 
 
+def least_equal(length: int) -> int:
+    """The equal words that an overlap with an item of a length needs."""
+    return length if length < LEAST_WORDS else min(LEAST_WORDS, math.ceil(SHARE * length))
+
+
+def _shared(same: np.ndarray) -> tuple[int, int, int] | None:
+    """(begin, end, equal) of the stretch with most equal words, and then fewest others, among those
+    whose share of equal words is at least ``SHARE``. It begins and ends with an equal word."""
+    at = np.flatnonzero(same)
+    if not len(at):
+        return None
+    # equal - SHARE * words of at[i] .. at[j] is not negative: gain[j] >= lose[i]
+    rank = np.arange(len(at))
+    gain, lose = rank + 1 - SHARE * (at + 1), rank - SHARE * at
+    first = np.minimum.accumulate(lose)  # falls, so the first place where it suffices has most words
+    begin = np.searchsorted(-first, -gain - 1e-9, "left")
+    equal = rank + 1 - begin
+    most = np.flatnonzero(equal == equal.max())
+    end = most[np.argmin(at[most] - at[begin[most]])]
+    return int(at[begin[end]]), int(at[end]) + 1, int(equal[end])
+
+
+def _scored(same: np.ndarray) -> tuple[int, int, int]:
+    """(begin, end, equal) of the best-scoring stretch, the one with more equal words on ties."""
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
+    lowest = np.minimum.accumulate(total)
+    best = total - lowest
+    ends = np.flatnonzero(best == best.max())
+    begins = [int(np.argmin(total[: e + 1])) for e in ends]
+    equal = [int(same[b:e].sum()) for b, e in zip(begins, ends, strict=True)]
+    i = int(np.argmax(equal))
+    return begins[i], int(ends[i]), equal[i]
+
+
 class SeedIndex:
     """The seeds of one block of benchmark items."""
 
@@ -118,12 +156,14 @@ class SeedIndex:
         """(first word, words, equal words) of the best stretch of the item laid at a shift."""
         a, b = max(0, -shift), min(len(item), len(text) - shift)
         same = text[a + shift : b + shift] == item[a:b]
-        total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-        lowest = np.minimum.accumulate(total)
-        end = int(np.argmax(total - lowest))
-        begin = int(np.argmin(total[: end + 1]))
-        equal = int(same[begin:end].sum())
-        if equal < min(LEAST_WORDS, len(item)):
+        need = least_equal(len(item))
+        if int(same.sum()) < need:
+            return None
+        found = _shared(same)
+        if found is None or found[2] < need:
+            found = _scored(same)
+        begin, end, equal = found
+        if equal < need:
             return None
         return a + begin + shift, end - begin, equal
 

@@ -72,3 +72,22 @@ def test_blocks_and_edges(spark, monkeypatch):
     assert [r.doc_id for r in d.without_contaminated(docs, bench).collect()] == [7]
     assert d.overlaps(docs.limit(0), bench).count() == d.overlaps(docs, bench.limit(0)).count() == 0
     assert d.without_contaminated(docs, bench.limit(0)).count() == 14
+
+
+def test_share_of_equal_words_decides():
+    rng = random.Random(11)
+
+    def found(n, changed):
+        words = make(rng, n)
+        said = ["other" if i in changed else w for i, w in enumerate(words)]
+        index = d.SeedIndex([(1, " ".join(words))])
+        return index.overlaps(d.pa.array([" ".join(["before", *said, "after"])]))[0]
+
+    assert found(59, set(range(3, 59, 5))) and found(38, {4 + 5 * i for i in range(7)})
+    assert found(16, {5, 11}) == [(1, 1, 16, 14)] and found(13, {3, 8}) == [(1, 1, 13, 11)]
+    assert not found(40, set(range(0, 40, 2)) | set(range(1, 40, 4)))
+    for n, rate in ((15, 0.1), (20, 0.1), (20, 0.15), (38, 0.15), (59, 0.2)):
+        # what was changed says whether the item is there, not how runs lie
+        sets = [{i for i in range(n) if rng.random() < rate} for _ in range(200)]
+        sets = [s for s in sets if n - len(s) >= 0.8 * n]
+        assert sum(bool(found(n, s)) for s in sets) >= 0.9 * len(sets), (n, rate)
