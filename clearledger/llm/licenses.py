@@ -1,15 +1,22 @@
 """Licence scan: a trained paragraph classifier confirmed by templates.
 
-A paragraph (a line of text) is a bag of hashed word n-grams of one to three words. Multinomial
+Consecutive lines that are not blank make a block, so that a wording wrapped over lines is whole.
+Blocks with enough of the word pairs of some template are laid beside it: the stretch of words that
+holds most of its pairs is confirmed if it holds enough, the likest wording first, and its words are
+taken for no other, so a block may name several licences. Titles (alone on a line) and SPDX tags
+need every word. A wording counts for the line it begins on.
+
+A paragraph is a bag of hashed word n-grams of one to three words. Multinomial
 logistic regression over these sparse features gives a probability for each licence family and for
 ``unknown``. It is trained here on paragraphs derived from the templates (words dropped, repeated,
 set in capitals, other words before and after) and on ordinary paragraphs of at most
 ``SAMPLE_DOCUMENTS`` documents (lowest id hash first). A third of the training rows is kept apart to
 fit the temperature of the probabilities and the least probability a family needs: no lower than
-``LEAST``, and above what all but one in a thousand ordinary paragraphs reach. A paragraph given to
-a family is confirmed if it holds enough of the word pairs of one of the family's templates.
+``LEAST``, and above what all but one in a thousand ordinary paragraphs reach. Of a confirmed wording
+the words of the stretch, its line and its whole block are scored; one of them must go to the family,
+unless the wording is there to the last pair.
 
-Every paragraph of every whole text is scored. Null and empty texts and paragraphs without words
+Every block of every whole text is looked at. Null and empty texts and paragraphs without words
 have no licence. Without documents the ordinary class is learnt from made-up paragraphs alone.
 Repeated rows get equal results; a column named like the added one is replaced.
 """
@@ -83,6 +90,25 @@ TEMPLATES = {
     ),
 }
 FAMILIES = tuple(TEMPLATES)
+#: Titles, alone on a line, and SPDX identifiers.
+TITLES = {
+    "Apache": ("Apache License", "Apache License Version 2.0", "Apache License Version 2.0, January 2004"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "BSD": ("BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "The BSD License"),
+    "GPL": ("GNU General Public License", "GNU General Public License Version 2", "GNU General Public License Version 3"),
+    "LGPL": ("GNU Lesser General Public License", "GNU Lesser General Public License Version 2.1", "GNU Lesser General Public License Version 3"),
+    "AGPL": ("GNU Affero General Public License", "GNU Affero General Public License Version 3"),
+    "MPL": ("Mozilla Public License", "Mozilla Public License Version 2.0"),
+    "CC-BY": ("Creative Commons Attribution 4.0 International", "CC BY 4.0"),
+    "CC-BY-SA": ("Creative Commons Attribution-ShareAlike 4.0 International", "CC BY-SA 4.0"),
+    "CC-BY-NC": ("Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0"),
+    "ISC": ("ISC License", "The ISC License"),
+    "Unlicense": ("The Unlicense",),
+}
+SPDX = {
+    "apache": "Apache", "mit": "MIT", "0bsd": "BSD", "bsd": "BSD", "gpl": "GPL", "lgpl": "LGPL", "agpl": "AGPL", "mpl": "MPL",
+    "cc-by-sa": "CC-BY-SA", "cc-by-nc": "CC-BY-NC", "cc-by": "CC-BY", "isc": "ISC", "unlicense": "Unlicense",
+}
 UNKNOWN = len(FAMILIES)
 BUCKETS = 1 << 13
 SAMPLE_DOCUMENTS = 300
@@ -192,6 +218,107 @@ def likeness(text: str, family: str) -> float:
     return max(len(own & t) / len(t) for t in _PAIRS[family])
 
 
+_WORD = re.compile(r"[0-9a-z\u0080-\U0010ffff]+")
+_TITLES = {tuple(_WORD.findall(t.lower())): f for f, ts in TITLES.items() for t in ts}
+_TAG = re.compile(r"spdx-license-identifier:([^\n]*)")
+_NAME = re.compile(r"(?<![0-9a-z.-])(" + "|".join(sorted(SPDX, key=len, reverse=True)) + r")(?:-(?:\d[0-9a-z.-]*|[a-z]+-\d[0-9a-z.-]*))?(?![0-9a-z])")
+
+
+def _pair_hashes(h: np.ndarray) -> np.ndarray:
+    return mix(h[:-1] * _MULTIPLY[0] + h[1:] * _MULTIPLY[1])
+
+
+def _hashed_pairs(text: str) -> np.ndarray:
+    data = lowered(np.frombuffer(text.encode(), np.uint8))
+    starts, ends, _ = words(data, np.array([0, len(data)]), SIGNS)
+    return np.unique(_pair_hashes(word_hashes(data, starts, ends)))
+
+
+_WORDINGS = [(f, t) for f, ts in _PAIRS.items() for t in ts]
+_SIGNS_OF = [_hashed_pairs(t) for ts in TEMPLATES.values() for t in ts]
+_ALL_SIGNS = np.unique(np.concatenate(_SIGNS_OF))
+_HOLDS = np.array([np.isin(_ALL_SIGNS, s) for s in _SIGNS_OF])  # (wording, pair)
+
+
+def telling_blocks(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether each block holds enough pairs of a wording, a tag or a line that may be a title."""
+    n = len(bounds) - 1
+    low = lowered(data)
+    starts, ends, first = words(low, bounds, SIGNS)
+    h = word_hashes(low, starts, ends)
+    out = np.zeros(n, bool)
+    if len(h) < 2:
+        return out | np.isin(np.diff(first), [1])
+    of = np.repeat(np.arange(n), np.diff(first))
+    sign = _pair_hashes(h)
+    at = np.minimum(np.searchsorted(_ALL_SIGNS, sign), len(_ALL_SIGNS) - 1)
+    hit = np.flatnonzero((_ALL_SIGNS[at] == sign) & (of[:-1] == of[1:]))
+    seen = np.unique(of[hit] * len(_ALL_SIGNS) + at[hit])
+    block, pair = seen // len(_ALL_SIGNS), seen % len(_ALL_SIGNS)
+    for wording in _HOLDS:
+        out |= np.bincount(block[wording[pair]], minlength=n) >= CONFIRMED * wording.sum() - 1e-9
+    for term in _TELLING:
+        out[of[np.flatnonzero(h == term)]] = True
+    return out
+
+
+def _hash_of(word: str) -> np.uint64:
+    data = np.frombuffer(word.encode(), np.uint8)
+    return word_hashes(data, np.array([0]), np.array([len(data)]))[0]
+
+
+#: Words that every title and tag has one of.
+_TELLING = [_hash_of(w) for w in ("spdx", "license", "unlicense", "cc", "commons")]
+
+
+def wordings(block: str) -> list[tuple[int, int, str, float]]:
+    """(begin, end, family, likeness) of the wordings in a block, in characters; none overlap."""
+    low = block.translate(_TO_LOWER)
+    found = list(_WORD.finditer(low))
+    w = [m[0] for m in found]
+    if not w:
+        return []
+    options: list[tuple[float, int, int, int, str]] = []  # (likeness, pairs, first word, last word, family)
+    own = list(zip(w[:-1], w[1:], strict=True))
+    for family, template in _WORDINGS:
+        hits = [i for i, p in enumerate(own) if p in template]
+        if len({own[i] for i in hits}) < CONFIRMED * len(template):
+            continue
+        for a, i in enumerate(hits):
+            seen: set[tuple[str, ...]] = set()
+            best = None
+            for j in hits[a:]:
+                if j - i > 2 * len(template):
+                    break
+                if own[j] not in seen:
+                    seen.add(own[j])
+                    best = j
+            if best is not None and len(seen) >= CONFIRMED * len(template):
+                options.append((len(seen) / len(template), len(seen), i, best + 1, family))
+    begins = [m.start() for m in found]
+    place = {b: i for i, b in enumerate(begins)}
+    for line in re.finditer(r"[^\n]+", low):
+        inside = [place[m.start() + line.start()] for m in _WORD.finditer(line[0])]
+        family = _TITLES.get(tuple(w[i] for i in inside))
+        if family:
+            options.append((1.0, len(inside), inside[0], inside[-1], family))
+    for tag in _TAG.finditer(low):
+        for name in _NAME.finditer(tag[1]):
+            i = place.get(name.start() + tag.start(1))
+            if i is not None:
+                options.append((1.0, 1, i, i + len(_WORD.findall(name[0])) - 1, SPDX[name[1]]))
+    taken = np.zeros(len(w), bool)
+    out = []
+    for alike, _, i, j, family in sorted(options, key=lambda o: (-o[0], -o[1], o[3] - o[2], o[2], o[4])):
+        if not taken[i : j + 1].any():
+            taken[i : j + 1] = True
+            out.append((begins[i], found[j].end(), family, alike))
+    return sorted(out)
+
+
+_TO_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
 def training_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(paragraph, label): templates varied, made-up and ordinary paragraphs."""
     spark = docs.sparkSession
@@ -241,7 +368,7 @@ FOUND = "array<struct<paragraph:int,family:string,probability:double,likeness:do
 
 
 def scan(df: DataFrame, model: Classifier, text: str = "text", into: str = "licences") -> DataFrame:
-    """Add the licences of each text: paragraph number, family, probability, likeness."""
+    """Add the licences of each text: paragraph (number of the line), family, probability, likeness."""
 
     @F.arrow_udf(FOUND)
     def scanned(column: pa.Array) -> pa.Array:
@@ -264,14 +391,35 @@ def _found(data: np.ndarray, offsets: np.ndarray, model: Classifier) -> list[lis
     cuts = np.unique(np.concatenate([offsets, np.flatnonzero(data == 10) + 1]))  # a paragraph keeps its line end
     if len(cuts) < 2:
         return out
-    p = model.probabilities(*paragraph_features(data, cuts), len(cuts) - 1)
     row = np.searchsorted(offsets, cuts[:-1], "right") - 1
     first = np.searchsorted(cuts, offsets)
-    for i in np.flatnonzero((p[:, :UNKNOWN].max(axis=1) >= model.least) & (p.argmax(axis=1) != UNKNOWN)):
-        family = FAMILIES[int(p[i].argmax())]
-        said = data[cuts[i] : cuts[i + 1]].tobytes().decode("utf-8", "replace")
-        alike = likeness(said, family)
-        if alike >= CONFIRMED:
-            r = int(row[i])
-            out[r].append({"paragraph": int(i - first[r]), "family": family, "probability": float(p[i].max()), "likeness": alike})
+    blank = _blank_lines(data, cuts)
+    # a block begins at each line that is blank, follows one, or begins a text
+    begin = np.flatnonzero(blank | np.append(True, blank[:-1]) | np.append(True, row[1:] != row[:-1]))
+    bounds = cuts[np.append(begin, len(cuts) - 1)]
+    asked: list[tuple[int, str, float, tuple[str, str, str]]] = []
+    for b in np.flatnonzero(telling_blocks(data, bounds)):
+        raw = data[bounds[b] : bounds[b + 1]].tobytes()
+        said = raw.decode("utf-8", "replace")
+        for at, to, family, alike in wordings(said):
+            line = int(begin[b]) + said.count("\n", 0, at)
+            own = data[cuts[line] : cuts[line + 1]].tobytes().decode("utf-8", "replace")
+            asked.append((line, family, alike, (said[at:to], own, said)))
+    if not asked:
+        return out
+    parts = [t.encode() for *_, texts in asked for t in texts]
+    ends = np.append(0, np.cumsum([len(t) for t in parts])).astype(np.int64)
+    p = model.probabilities(*paragraph_features(np.frombuffer(b"".join(parts), np.uint8), ends), len(parts))
+    for number, (line, family, alike, _) in enumerate(asked):
+        chance = float(p[3 * number : 3 * number + 3, FAMILIES.index(family)].max())
+        # a wording with every word needs no more than its words
+        if alike == 1 or chance >= model.least:
+            r = int(row[line])
+            out[r].append({"paragraph": int(line - first[r]), "family": family, "probability": chance, "likeness": alike})
     return out
+
+
+def _blank_lines(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Whether each line holds nothing but spaces and control characters."""
+    filled = np.append(0, np.cumsum(data > 32))
+    return filled[cuts[1:]] == filled[cuts[:-1]]

@@ -202,3 +202,30 @@ def test_licences_of_given_tables(spark, small):
     for r in queries.op2_licences(spark, small).collect():
         truth = sorted({f for n, f in names.items() if n in said[r.doc_id]})
         assert r.families == ",".join(truth)
+
+
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above""",
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or""",
+}
+
+
+def test_wrapped_titled_and_tagged_licences(spark, small):
+    model = licenses.fit(spark.read.parquet(f"{small}/documents.parquet"))
+    rows = [(f"Some text.\n\n{t}\nand more\n\nThe end.", f"2:{f}") for f, t in WRAPPED.items()]
+    rows += [(f"{WRAPPED['MIT']}\n{WRAPPED['BSD']}", "0:MIT,4:BSD"), (" ".join(WRAPPED["ISC"].split()) + " " + licenses.TEMPLATES["MPL"][1], "0:ISC,0:MPL")]
+    rows += [("x\nMIT License\n\nwords", "1:MIT"), ("# SPDX-License-Identifier: MIT\nimport x", "0:MIT"), ("// SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)", "0:GPL,0:BSD")]
+    rows += [("SPDX-License-Identifier: CC-BY-SA-4.0\nSPDX-License-Identifier: LGPL-2.1-or-later", "0:CC-BY-SA,1:LGPL")]
+    rows += [("He spoke of a license of MIT and its terms.", ""), ("Permission was granted to use the source\n\nand binary forms", "")]
+    df = spark.createDataFrame(rows, "text string, truth string")
+    for r in licenses.scan(df, model).collect():
+        assert ",".join(f"{x.paragraph}:{x.family}" for x in r.licences) == r.truth, r.text
