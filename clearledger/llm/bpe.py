@@ -4,11 +4,15 @@ Encoding a pretoken takes the longest vocabulary entry at each place (found by a
 automaton), keeps it if it and the token before are compatible, else tries a shorter one, else
 steps back. Two tokens are compatible if merging their joined bytes gives just these two; with
 only compatible neighbours the result is what the merge rules give. Places that failed are
-remembered, so the work is linear in the pretoken's length.
+remembered, so the work is linear in the pretoken's length. Of the tokens that begin at a place
+only the longest is kept; the next shorter one follows from a table of each token's longest proper
+prefix that is a token.
 
 Texts are taken whole; a null text is an empty one. Ids are packed as little-endian unsigned
 32-bit integers. The vocabulary file is read once on the driver and broadcast: its size is that of
-a tokenizer, whatever the corpus. Rows are independent, so a lost executor costs its own tasks.
+a tokenizer, whatever the corpus. Rows are independent, so a lost executor costs its own tasks. A
+task builds its own vocabulary and drops it with all it remembers when it ends. Columns other than
+those named pass through; one named like an added column is replaced.
 """
 
 from __future__ import annotations
@@ -24,11 +28,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clearledger.llm.workers import with_columns
+
 #: The pretoken pattern of byte-level tokenizers (a fixed value).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Distinct pretokens, and pairs of tokens, that a worker remembers (some 50 MB together); others
+#: Distinct pretokens, and pairs of tokens, that a task remembers (some 50 MB together); others
 #: are worked out again when they come again.
 REMEMBERED = 150_000
+#: Bytes of text, or of ids, worked on at once.
+SLICE_BYTES = 1 << 21
 LATE = 1 << 40
 
 
@@ -72,9 +80,12 @@ class Vocabulary:
         self._fitting: dict[int, bool] = {}
         self.find = ahocorasick.Automaton()
         special = set(self.special.values())
-        for i, t in enumerate(self.token):
-            if t and i not in special:
-                self.find.add_word(t.decode("latin-1"), (len(t), i))
+        self.whole: dict[bytes, int] = {t: i for i, t in enumerate(self.token) if t and i not in special}
+        self.lengths = [len(t) for t in self.token]
+        self.shorter = [-1] * size
+        for t, i in self.whole.items():
+            self.find.add_word(t.decode("latin-1"), (len(t), i))
+            self.shorter[i] = next((self.whole[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.whole), -1)
         self.find.make_automaton()
         names = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -109,33 +120,33 @@ class Vocabulary:
             self._fitting[a << 32 | b] = good
         return good
 
-    def matches(self, text: str) -> list[list[int]]:
-        """For each place the tokens that begin there, shortest first (the automaton reports by
-        end, so for one beginning shorter tokens come earlier)."""
-        at: list[list[int]] = [[] for _ in text]
+    def longest(self, text: str) -> list[int]:
+        """The longest token that begins at each place, -1 if none does (the automaton reports by
+        end, so for one beginning longer tokens come later)."""
+        at = [-1] * len(text)
         for end, (length, token) in self.find.iter(text):
-            at[end - length + 1].append(token)
+            at[end - length + 1] = token
         return at
 
     def encode_pretoken(self, raw: bytes) -> list[int]:
-        text = raw.decode("latin-1")
-        at, lengths = self.matches(text), self.token
-        good, out, place = bytearray(b"\1") * (len(raw) + 1), [], 0
-        fit = self.fit
-        while place < len(raw):
-            choices = at[place]
-            while choices:
-                token = choices[-1]
-                if good[place + len(lengths[token])] and (not out or fit(out[-1], token)):
-                    out.append(token)
-                    place += len(lengths[token])
-                    break
-                choices.pop()  # it will not fit later either: what follows it has failed
-            else:
-                if not out:
-                    raise ValueError(f"bytes without a token: {raw[place : place + 8]!r}")
+        whole = self.whole.get(raw)
+        if whole is not None:
+            return [whole]
+        at, lengths, shorter, fit = self.longest(raw.decode("latin-1")), self.lengths, self.shorter, self.fit
+        good, out, place, size = bytearray(b"\1") * (len(raw) + 1), [], 0, len(raw)
+        while place < size:
+            token = at[place]
+            while token >= 0 and not (good[place + lengths[token]] and (not out or fit(out[-1], token))):
+                token = shorter[token]  # a longer one will not fit later either: what follows it has failed
+            at[place] = token
+            if token >= 0:
+                out.append(token)
+                place += lengths[token]
+            elif out:
                 good[place] = 0
-                place -= len(lengths[out.pop()])
+                place -= lengths[out.pop()]
+            else:
+                raise ValueError(f"bytes without a token: {raw[:8]!r}")
         return out
 
     def encode(self, text: str) -> bytes:
@@ -175,48 +186,54 @@ class _Packed(dict):
         return packed
 
 
-_loaded: dict[tuple[int, bool], Vocabulary] = {}
+def _texts(column: pa.Array) -> list[str]:
+    return [(b or b"").decode("utf-8", "replace") for b in column.cast(pa.large_binary()).to_pylist()]
 
 
-def _vocabulary(source, encodes: bool) -> Vocabulary:
-    """The vocabulary of a broadcast file, built once a worker."""
-    key = hash(source.value), encodes
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Vocabulary(source.value, encodes)
-    return _loaded[key]
+def _coded(df: DataFrame, tokenizer: str, column: str, added: str, encodes: bool, work) -> DataFrame:
+    """Add columns made by work(vocabulary, column); the vocabulary is the task's own."""
+    source = df.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
+    place = df.columns.index(column)
 
+    def start():
+        vocabulary = Vocabulary(source.value, encodes)
+        return lambda batch: work(vocabulary, batch.column(place))
+
+    return with_columns(df, added, start, SLICE_BYTES, column)
 
-def _texts(column: pa.Array) -> list[str]:
-    return [(b or b"").decode("utf-8", "replace") for b in column.cast(pa.large_binary()).to_pylist()]
+
+def _packed_ids(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
+    return pa.array([vocabulary.encode(t) for t in _texts(texts)], pa.binary())
+
+
+def _said(vocabulary: Vocabulary, ids: pa.Array) -> pa.Array:
+    said = [vocabulary.decode(b or b"").decode("utf-8", "replace") for b in ids.to_pylist()]
+    return pa.array(said, pa.string())
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", into: str = "ids") -> DataFrame:
     """Add the packed ids of a text column (in place of a column of that name).
 
     ``tokenizer`` is the path of a byte-level tokenizer file, read on the driver."""
-    source = df.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
-
-    @F.arrow_udf("binary")
-    def packed(column: pa.Array) -> pa.Array:
-        vocabulary = _vocabulary(source, True)
-        return pa.array([vocabulary.encode(t) for t in _texts(column)], pa.binary())
-
-    return df.withColumn(into, packed(F.col(f"`{text}`")))
+    return _coded(df, tokenizer, text, f"`{into}` binary", True, lambda v, texts: [_packed_ids(v, texts)])
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the text of packed ids; bytes that are not UTF-8 become U+FFFD, null ids an empty text."""
-    source = df.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
+    return _coded(df, tokenizer, ids, f"`{into}` string", False, lambda v, packed: [_said(v, packed)])
+
+
+def encode_and_decode(
+    df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """Add the packed ids of a text column and the text these ids decode to; each text is encoded
+    once, and both directions share a vocabulary."""
 
-    @F.arrow_udf("string")
-    def unpacked(column: pa.Array) -> pa.Array:
-        vocabulary = _vocabulary(source, False)
-        return pa.array(
-            [vocabulary.decode(b or b"").decode("utf-8", "replace") for b in column.to_pylist()], pa.string()
-        )
+    def both(vocabulary, texts):
+        packed = _packed_ids(vocabulary, texts)
+        return [packed, _said(vocabulary, packed)]
 
-    return df.withColumn(into, unpacked(F.col(f"`{ids}`")))
+    return _coded(df, tokenizer, text, f"`{ids}` binary, `{decoded}` string", True, both)
 
 
 def n_tokens(ids: Column) -> Column:

@@ -127,9 +127,8 @@ def op8_quality(spark, folder):
 def op9_bpe(spark, folder):
     """Tokens of every document by the byte-level vocabulary, and the text they decode to."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, byte_tokenizer()).drop("text")
-    back = bpe.decode(coded, byte_tokenizer())
-    return back.select(
+    coded = bpe.encode_and_decode(docs, byte_tokenizer())
+    return coded.select(
         "doc_id",
         bpe.n_tokens(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -56,9 +56,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    coded = bpe.encode(docs.select(*COLUMNS), byte_tokenizer(), into="ids")
-    back = bpe.decode(coded, byte_tokenizer(), into="decoded")
-    return back.select(
+    coded = bpe.encode_and_decode(docs.select(*COLUMNS), byte_tokenizer())
+    return coded.select(
         "doc_id",
         "lang",
         "source",
