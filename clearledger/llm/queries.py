@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, quality, secrets, substrings
+from clearledger.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    jaccard,
+    languages,
+    lexical,
+    licenses,
+    manifest,
+    neighbours,
+    quality,
+    secrets,
+    substrings,
+)
 from clearledger.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +175,40 @@ def op10_chat(spark, folder):
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op11_language(spark, folder):
+    """The language of every document, learnt from those that are not held out."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    outside = languages.held_out(F.col("doc_id"))
+    network = languages.fit(docs.where(~outside))
+    found = languages.predict(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", outside.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_lexical(spark, folder):
+    """The 20 documents that rank highest for every benchmark item."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return lexical.search(docs, read_table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query
+def op13_merkle(spark, folder):
+    """Every document's leaf, its proof, and whether a copy of it, at times tampered with, is verified."""
+    docs = read_table(spark, folder, "documents").select(*manifest.FIELDS)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = {n: F.col(n) for n in manifest.FIELDS} | {"text": F.translate("text", capitals, capitals.lower())}
+    made = manifest.build(docs, {"tampered": F.when(chosen, manifest.leaf_digest(tampered))})
+    proofs = manifest.prove(made, F.coalesce("tampered", "digest"))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        "verified",
+    )

@@ -1,0 +1,230 @@
+"""Language networks, lexical search and the Merkle manifest, against plain versions and SQL."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import compare
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clearledger.llm import languages, lexical, manifest, oracles, queries
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def con(small):
+    return compare.connect(small)
+
+
+# --- languages ----------------------------------------------------------------------------------
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(1)
+    network = languages.Network.new(["a", "b", "c"], hidden=3, seed=2)
+    for w in network.weights:
+        w *= 3
+    for layer in (network.forwards, network.backwards):
+        layer.byte, layer.state = layer.byte.astype(float), layer.state.astype(float)
+    data = rng.integers(0, 4, (5, 6)).astype(np.uint8)
+    valid = (np.arange(5)[:, None] < [5, 5, 3, 2, 1, 5]).astype(np.float32)
+    label = np.array([0, 1, 2, 0, 1, 2])
+    _, gradients = network.loss_and_gradients(data, valid, label)
+    for w, g in zip(network.weights, gradients, strict=True):
+        flat, own = w.reshape(-1), g.reshape(-1)
+        for i in rng.choice(min(len(flat), 12), 3, replace=False):
+            kept, step = flat[i], 1e-2
+            flat[i] = kept + step
+            more = network.loss_and_gradients(data, valid, label)[0]
+            flat[i] = kept - step
+            less = network.loss_and_gradients(data, valid, label)[0]
+            flat[i] = kept
+            assert own[i] == pytest.approx((more - less) / (2 * step), abs=2e-4)
+
+
+def test_documents_do_not_depend_on_their_neighbours():
+    network = languages.Network.new(["a", "b"])
+    texts = [b"", b"x" * 200, "ñandú".encode() * 40, b"y"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    together = network.documents(data, np.cumsum([0, *map(len, texts)]))
+    for text, got in zip(texts, together, strict=True):
+        alone = network.documents(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+        assert np.allclose(alone, got, atol=1e-5)
+        assert got.sum() == pytest.approx(1 if text else 0, abs=1e-4)
+
+
+def test_languages_of_held_out_documents(spark, small):
+    folder = small.replace("0.001", "0.01")
+    truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text")
+    rows = queries.op11_language(spark, folder).join(truth, "doc_id").collect()
+    assert len(rows) == truth.count()
+    tried = [r for r in rows if r.held_out and r.lang and r.lang_pred != "und"]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang == r.lang_pred for r in tried) / len(tried) > 0.95
+
+
+def test_language_of_odd_rows(spark):
+    said = {"en": "the thing and the other thing ", "de": "und die der das ist nicht so ", "fr": "où été déjà ça là "}
+    rows = [(i, said[k] * (i % 4 + 1), k, None, 1) for i, k in enumerate(name for _ in range(12) for name in said)]
+    odd = [(100, None, "en", None, 1), (101, "", "de", None, 1), (102, "12 34 !?", None, None, 1), (None, "the thing", "xx", None, 1),
+           (103, said["fr"] * 5_000, None, None, 1), (1, "und die", "de", None, 1), (1, "und die", "de", None, 1)]
+    docs = spark.createDataFrame(rows + odd, DOC)
+    network = languages.fit(docs)
+    assert network.languages == ["de", "en", "fr"]
+    clashing = docs.withColumn("score", F.lit("own")).withColumn("p", F.lit(1))
+    got = languages.predict(clashing, network)
+    assert got.columns.count("score") == 1 and got.count() == len(rows + odd)
+    told = {r.doc_id: (r.lang_pred, r.score) for r in got.collect()}
+    assert told[100] == told[101] == told[102] == ("und", 0.0)
+    assert told[103][0] == "fr" and told[None][0] == "en"
+    nothing = languages.fit(docs.limit(0))
+    assert nothing is None and {r.lang_pred for r in languages.predict(docs, None).collect()} == {"und"}
+    assert languages.predict(docs.limit(0), network).count() == 0
+
+
+# --- lexical search -----------------------------------------------------------------------------
+
+
+def plain_search(docs, items, k):
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(
+        c.lower() if c.isascii() else c for c in t or ""))
+    read = [(i, terms(t)) for i, t in docs]
+    n, words = sum(bool(t) for _, t in read), sum(len(t) for _, t in read)
+    df = {}
+    for _, t in read:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for item, text in items:
+        found = []
+        for i, t in read:
+            m = 75 + 25 * len(t) * n // words if words else 0
+            score = 0
+            for x in terms(text):
+                tf = t.count(x)
+                if tf:
+                    score += math.floor(1000 * math.log((2 * n + 2) / (2 * df[x] + 1))) * (10**9 * tf // (1000 * tf + 12 * m))
+            if score > 0:
+                found.append((-score, i is not None, i or 0))
+        for rank, (score, known, i) in enumerate(sorted(found)[:k], 1):
+            out.append((item, rank, i if known else None, -score))
+    return out
+
+
+def test_search_matches_sql(spark, small, con):
+    got = compare.spark_result(queries.op12_lexical(spark, small))
+    assert got == compare.sql_result(con, oracles.ORACLES["op12_lexical"])
+
+
+def test_search_of_odd_rows(spark):
+    rng = random.Random(3)
+    words = ["a", "A", "bc", "c", "über", "ÜBER", "x9", "9", "日本", "é", "a_b", "--", " "]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 30)))) for i in range(120)]
+    docs += [(None, None), (500, ""), (501, "bc " * 30_000), (None, "a bc x9"), (7, "a"), (7, "a"), (8, "\x00a\x7fb\x85")]
+    docs += [(i, "bc über x9 a") for i in range(600, 700)]
+    items = [("i1", "a bc bc"), ("i2", None), ("i3", "x9 ÜBER 日本 nowhere"), ("i1", "c"), (None, "9"), ("i4", "b\x85")]
+    for size in (lexical.BLOCK_BYTES, 100):
+        df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit(1)).repartition(5)
+        asked = spark.createDataFrame(items, "item_id string, text string")
+        got = [tuple(r) for r in lexical.search(df, asked, k=5, block_bytes=size, cells=40).collect()]
+        key = lambda r: tuple((x is not None, x) for x in r)
+        assert sorted(got, key=key) == sorted(plain_search(docs, items, 5), key=key)
+    assert lexical.search(df.limit(0), asked).count() == lexical.search(df, asked.limit(0)).count() == 0
+    assert lexical.search(df, asked.limit(0)).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+# --- manifest -----------------------------------------------------------------------------------
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_climb(nodes):
+    """The root, and for each node its siblings level by level as (before, after)."""
+    paths, of = [[] for _ in nodes], [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        runs = [nodes[i : i + 8] for i in range(0, len(nodes), 8)]
+        for j, _ in enumerate(nodes):
+            run = runs[j // 8]
+            for i in of[j]:
+                paths[i].append((run[: j % 8], run[j % 8 + 1 :]))
+        of = [sum(of[i : i + 8], []) for i in range(0, len(of), 8)]
+        nodes = [h(*run) for run in runs]
+    return nodes[0], paths
+
+
+def plain_manifest(rows):
+    def leaf(r, text):
+        return h(*["-" if x is None else f"{len(str(x).encode())}:{x}" for x in (r[0], r[3], r[2], r[4], text)])
+
+    trees = {}
+    for r in rows:
+        trees.setdefault((r[2] is not None, (r[2] or "").encode()), []).append(r)
+    names = sorted(trees)
+    roots, out = [], []
+    for name in names:
+        trees[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[1])))
+        roots.append(plain_climb([leaf(r, r[1]) for r in trees[name]]))
+    root, above = plain_climb([r[0] for r in roots])
+    for name, (subroot, paths), up in zip(names, roots, above, strict=True):
+        for r, path in zip(trees[name], paths, strict=True):
+            text = r[1]
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and text is not None:
+                text = "".join(c.lower() if c.isascii() else c for c in text)
+            claim = leaf(r, text)
+            for before, after in path + up:
+                claim = h(*before, claim, *after)
+            proof = h(*[x for before, after in path + up for x in before + after])
+            out.append((r[0], leaf(r, r[1]), subroot, root, proof, claim, claim == root))
+    return out
+
+
+def test_addresses_are_a_permutation_with_top_trees_first():
+    for levels in range(1, 6):
+        at = np.concatenate(manifest.addresses(levels))
+        assert sorted(at) == list(range(manifest.tree_size(levels)))
+    deep = manifest.addresses(5)
+    assert deep[0][0] == 0 and sorted(deep[1]) == list(range(1, 9))
+    bottom = manifest.tree_size(3)
+    for j in range(64 // 8):  # each bottom tree of three levels lies together
+        places = np.concatenate([deep[2][j * 8 : (j + 1) * 8], deep[3][j * 64 : (j + 1) * 64]])
+        assert places.min() >= 9 and places.max() - places.min() < 8 * bottom
+
+
+def test_manifest_matches_sql(spark, small, con):
+    got = compare.spark_result(queries.op13_merkle(spark, small))
+    assert got == compare.sql_result(con, oracles.ORACLES["op13_merkle"])
+
+
+@pytest.mark.parametrize("levels", [1, 2, 4])
+def test_manifest_of_odd_rows(spark, tmp_path, monkeypatch, levels):
+    rng = random.Random(4)
+    langs = [None, "", "de", "en", "é", "z", *(f"l{i}" for i in range(30))]
+    rows = [(i, rng.choice(["Abc É", "abc", "", None, "X" * i]), rng.choice(langs), rng.choice([None, "s"]), i % 5) for i in range(700)]
+    rows += [(i, "Many", "en", "s", None) for i in range(1_000, 1_530)]
+    rows += [(None, "Lost", "en", None, 1), (None, None, None, None, None), (5, "A", "en", "s", 1), (5, "A", "en", "s", 1)]
+    rows += [(3, "Long " * 40_000, "en", "s", 1)]
+    build = manifest.build
+    monkeypatch.setattr(manifest, "build", lambda docs, keep: build(docs, keep, levels))
+    docs = spark.createDataFrame(rows, DOC).withColumn("root", F.lit("clash")).repartition(7)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op13_merkle(spark, str(tmp_path)).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(plain_manifest(rows), key=key)
+    assert any(not r.verified for r in got) and any(r.verified for r in got)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "One", "en", "s", 3)], [(1, "One", "en", "s", 3), (2, "Two", None, "s", 3)]])
+def test_manifest_of_few_rows(spark, tmp_path, rows):
+    spark.createDataFrame(rows, DOC).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op13_merkle(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_manifest(rows) if rows else [])
