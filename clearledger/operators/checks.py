@@ -39,7 +39,7 @@ def _outside(c: Column, low: float | None, high: float | None) -> Column:
     return failing
 
 
-def _not_accepted(c: Column, values: list[Any]) -> Column:
+def not_accepted(c: Column, values: list[Any]) -> Column:
     return c.isNotNull() & ~c.isin(*values)
 
 
@@ -60,7 +60,7 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 def accepted_values(df: DataFrame, column: str, values: list[Any]) -> DataFrame:
     """(value, n) for values outside the list; a missing value passes."""
     return (
-        df.filter(_not_accepted(col(column), values))
+        df.filter(not_accepted(col(column), values))
         .groupBy(col(column).alias("value"))
         .agg(F.count("*").alias("n"))
     )
@@ -132,7 +132,7 @@ def failing(check: Check, models: dict[str, DataFrame], as_of: str | None = None
     raise ValueError(f"unknown check {check.kind}")
 
 
-def _row_condition(check: Check, as_of: str | None) -> Column | None:
+def row_condition(check: Check, as_of: str | None) -> Column | None:
     """Condition of a check that looks at single rows, so that one scan can count many."""
     column, o = col(check.columns[0]), check.options
     if check.kind == NOT_NULL:
@@ -155,12 +155,12 @@ def _key_text(check: Check) -> Column:
 
 def _entry(i: int, check: Check, as_of: str | None) -> Column:
     """What a row adds to a check: nothing, or one entry under the key that counts."""
-    condition, key = _row_condition(check, as_of), F.lit(None).cast("string")
+    condition, key = row_condition(check, as_of), F.lit(None).cast("string")
     if condition is None:
         key = _key_text(check)
         condition = key.isNotNull()
         if check.kind == ACCEPTED_VALUES:
-            condition = _not_accepted(col(check.columns[0]), check.options["values"])
+            condition = not_accepted(col(check.columns[0]), check.options["values"])
     return F.when(condition, F.struct(F.lit(i).alias("_check"), key.alias("_key")))
 
 

@@ -66,7 +66,13 @@ def customer_transactions_summary(
     The last grouping reuses the partitioning of the account join. Duplicate accounts, rates or
     customers multiply rows exactly as in joins on the single transactions.
     """
-    per_account = transactions.groupBy(
+    return price_and_group(sums_per_account(transactions), accounts, fx_rates, customers, broadcast_rows)
+
+
+def sums_per_account(transactions: DataFrame) -> DataFrame:
+    """(account_id, transaction_date, currency_iso_code, _amount, _transactions): sums and counts
+    that may be summed up again with those of other transactions."""
+    return transactions.groupBy(
         "account_id",
         "transaction_date",
         F.col("transaction_currency").alias("currency_iso_code"),
@@ -74,7 +80,38 @@ def customer_transactions_summary(
         F.sum("transaction_amount").alias("_amount"),
         F.count("*").alias("_transactions"),
     )
-    priced = left_join_lookup(
+
+
+def owners_of(accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Accounts with their customer and branch."""
+    return (
+        accounts.select("account_id", "customer_id")
+        .join(customers.select("customer_id", "branch_id"), "customer_id", "left")
+        .select(
+            "account_id",
+            "customer_id",
+            F.coalesce(F.col("branch_id").cast("string"), F.lit(UNKNOWN_BRANCH)).alias(
+                "branch_id"
+            ),
+        )
+    )
+
+
+def price_and_group(
+    per_account: DataFrame,
+    accounts: DataFrame,
+    fx_rates: DataFrame,
+    customers: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The reporting model from the sums of ``sums_per_account``."""
+    owners = owners_of(accounts, customers)
+    return group_by_owner(priced_sums(per_account, fx_rates, broadcast_rows), owners)
+
+
+def priced_sums(per_account: DataFrame, fx_rates: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(account_id, transaction_date, _eur, _transactions)."""
+    return left_join_lookup(
         per_account,
         fx_rates.select("currency_iso_code", "fx_rate"),
         "currency_iso_code",
@@ -86,17 +123,10 @@ def customer_transactions_summary(
         to_eur(F.col("_amount"), F.col("currency_iso_code"), F.col("fx_rate")).alias("_eur"),
         "_transactions",
     )
-    owners = (
-        accounts.select("account_id", "customer_id")
-        .join(customers.select("customer_id", "branch_id"), "customer_id", "left")
-        .select(
-            "account_id",
-            "customer_id",
-            F.coalesce(F.col("branch_id").cast("string"), F.lit(UNKNOWN_BRANCH)).alias(
-                "branch_id"
-            ),
-        )
-    )
+
+
+def group_by_owner(priced: DataFrame, owners: DataFrame) -> DataFrame:
+    """Sums per date, customer, account and branch; grouping reuses the partitioning of the join."""
     return (
         priced.join(owners, "account_id", "inner")
         .groupBy("transaction_date", "customer_id", "account_id", "branch_id")

@@ -487,6 +487,18 @@ def _suite() -> str:
     )
 
 
+def _observed() -> str:
+    """Failing rows of the checks that look at single rows, for the layers that are stored."""
+    kinds = ("not_null", "date_is_past", "numeric_range", "accepted_values")
+    stored = [c for c in declared() if c[2] in kinds and not c[0].startswith("stg_")]
+    failures = lambda c: _check_failures(*c).replace(f"count(DISTINCT {c[1]})", "count(*)")
+    return " UNION ALL ".join(
+        f"""SELECT '{c[0]}' AS model, '{c[1]}' AS "column", '{c[2]}' AS "check",
+        ({failures(c)}) AS failures, ({failures(c)}) = 0 AS passed"""
+        for c in stored
+    )
+
+
 def _fk(parent: str, pk: str, child: str, fk: str) -> str:
     orphan = f"{fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM raw_{parent})"
     return f"""SELECT '{parent}_{child}' AS relationship, '{parent}' AS parent_table,
@@ -584,9 +596,13 @@ _DAYS = "CAST(transaction_date - DATE '1970-01-01' AS DOUBLE)"
 
 BODIES = {
     **{n: f"SELECT * FROM {n}" for n in CTES if n.startswith(("stg_", "int_"))},
-    "customer_transactions_summary": """SELECT * REPLACE (round(total_amount_eur, 4)
+    # Loaded day by day, or joined bucket by bucket, the reporting table is the same.
+    **{
+        n: """SELECT * REPLACE (round(total_amount_eur, 4)
         AS total_amount_eur, CAST(total_transactions AS BIGINT) AS total_transactions)
-        FROM customer_transactions_summary""",
+        FROM customer_transactions_summary"""
+        for n in ("customer_transactions_summary", "summary_daily_merge", "summary_from_buckets")
+    },
     "transactions_in_eur": """SELECT * REPLACE (round(transaction_amount, 4)
         AS transaction_amount, round(exchange_rate_to_eur, 4) AS exchange_rate_to_eur,
         round(amount_eur, 4) AS amount_eur) FROM priced""",
@@ -675,6 +691,7 @@ BODIES = {
     "check_unique_combination": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
         GROUP BY 1, 2 HAVING count(*) > 1""",
     "check_suite_summary": _suite(),
+    "observed_checks": _observed(),
     "check_summary_keys": f"""SELECT {', '.join(SUMMARY_KEYS)}, count(*) AS n
         FROM customer_transactions_summary GROUP BY ALL HAVING count(*) > 1""",
     "fk_orphans": """SELECT * FROM raw_accounts WHERE customer_id IS NOT NULL

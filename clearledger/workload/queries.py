@@ -22,19 +22,21 @@ from clearledger.operators import (
     checks,
     extracts,
     ids,
+    observed,
     outliers,
     profile,
     quality,
     relationships,
     sampling,
 )
-from clearledger.plans import intermediate, reporting, staging, warehouse
+from clearledger.plans import incremental, intermediate, reporting, staging, storage, warehouse
 from clearledger.plans.suite import SUITE, SUMMARY_KEYS
 from clearledger.sources import catalog
 from clearledger.sources.tables import (
     read_delimited,
     read_table,
     shared_folder,
+    stored,
     table_sample,
     write_delimited,
 )
@@ -112,6 +114,47 @@ def customer_transactions_summary(spark, folder):
     return rounded(summary, 4)
 
 
+def _inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Cleaned transactions, accounts, rates and customers, written once for several readers."""
+    names = ("transactions", "accounts", "fx_rates")
+    models = {n: stored(_cleaned(spark, folder, n), n) for n in names}
+    return models | {"customers": stored(int_customers(spark, folder), "customers")}
+
+
+@query
+def summary_daily_merge(spark, folder):
+    """The reporting table after four loads: three spans of years, then late rows of all of them."""
+    inputs = _inputs(spark, folder)
+    arrived = inputs.pop("transactions")
+    date = F.col("transaction_date")
+    load = (
+        F.when(F.col("transaction_id") % 10 == 0, 3)
+        .when(date < "1994-01-01", 0)
+        .when(date < "1996-01-01", 1)
+        .otherwise(2)
+    )
+    table = incremental.DailySummary(shared_folder(spark, "daily"), grain="year")
+    for i in range(4):
+        table.add(arrived.where(load == i), f"load{i}", **inputs)
+    return rounded(table.report(spark), 4)
+
+
+@query
+def summary_from_buckets(spark, folder):
+    """The reporting model over layers bucketed by account, joined without a shuffle."""
+    inputs = _inputs(spark, folder)
+    where = shared_folder(spark, "buckets")
+    layers = storage.bucket_layers(
+        inputs["transactions"],
+        inputs["accounts"],
+        inputs["customers"],
+        database=f"buckets_{where[-32:]}",
+        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        folder=where,
+    )
+    return rounded(layers.summary(inputs["fx_rates"]), 4)
+
+
 @query
 def transactions_in_eur(spark, folder):
     return rounded(
@@ -354,6 +397,25 @@ def check_suite_summary(spark, folder):
     return checks.check_suite_summary(SUITE, warehouse.lazy_models(raw), as_of=AS_OF)
 
 
+@query
+def observed_checks(spark, folder):
+    """Failing rows of all row checks of the stored layers, counted while they are written."""
+    raw = {n: getattr(raw_feeds, f"raw_{n}")(spark, folder) for n in warehouse.RAW_TABLES}
+    staged = warehouse.staging_models(raw)
+    results, layers = [], {}
+
+    def write(models: dict[str, DataFrame]) -> None:
+        for name, df in models.items():
+            own = [c for c in SUITE if c.model == name]
+            path = shared_folder(spark, name)
+            layers[name], found = observed.write_observed(df, path, own, AS_OF)
+            results.extend(found)
+
+    write(warehouse.intermediate_models(staged, raw["currencies"]))
+    write(warehouse.reporting_models(layers))
+    return observed.results_frame(spark, results)
+
+
 @query
 def check_summary_keys(spark, folder):
     """The key of the reporting table holds: no combination is returned."""
