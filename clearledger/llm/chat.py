@@ -1,7 +1,7 @@
 """Chat formatting from typed content parts, in DataFrame functions only.
 
 A message is a row (conversation, turn, role, parts). A part is a struct of PART_TYPE. Each part
-is visited in order and flattened: text is escaped and copied; an image, audio or document part
+is visited in order and flattened: texts are copied, joined and escaped; an image, audio or document part
 becomes a placeholder and an attachment record with the number of tokens it expands to.
 
 Template: ``<|turn|>role<|body|>body<|end|>`` per message. In texts and roles ``&`` becomes
@@ -66,12 +66,23 @@ def _known(parts: Column) -> Column:
     return F.filter(parts, lambda p: F.coalesce(p["kind"].isin(kinds), F.lit(False)))
 
 
-def _flat(part: Column) -> Column:
-    """The string a part adds to the body."""
-    out = F.when(part["kind"] == "text", escape(part["text"]))
-    for kind, placeholder in PLACEHOLDERS.items():
-        out = out.when(part["kind"] == kind, F.lit(placeholder))
-    return out
+def _body(known: Column) -> Column:
+    """The parts as one string. Neighbouring texts are joined before they are escaped, as a control
+    string may begin in one and end in the next; texts and placeholders cannot make one together."""
+
+    def visit(acc: Column, part: Column) -> Column:
+        is_text = part["kind"] == "text"
+        said = F.coalesce(part["text"], F.lit(""))
+        placeholder = F.lit("")
+        for kind, token in PLACEHOLDERS.items():
+            placeholder = F.when(part["kind"] == kind, F.lit(token)).otherwise(placeholder)
+        return F.struct(
+            F.when(is_text, acc["done"]).otherwise(F.concat(acc["done"], escape(acc["run"]), placeholder)).alias("done"),
+            F.when(is_text, F.concat(acc["run"], said)).otherwise(F.lit("")).alias("run"),
+        )
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+    return F.aggregate(known, start, visit, lambda acc: F.concat(acc["done"], escape(acc["run"])))
 
 
 def _tokens(part: Column) -> Column:
@@ -102,7 +113,7 @@ def flatten_parts(df: DataFrame, parts: str = "parts") -> DataFrame:
     df = df.drop("body", "attachments", "attachment_tokens")
     return df.withColumns(
         {
-            "body": F.array_join(F.transform(known, _flat), ""),
+            "body": _body(known),
             "attachments": records,
             "attachment_tokens": F.aggregate(
                 records, F.lit(0).cast("long"), lambda total, r: total + r["tokens"]

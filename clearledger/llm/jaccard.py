@@ -12,7 +12,8 @@ are left out wherever the numbers show that linked sets must share another.
 
 Classes are found without writing all pairs of a group:
 
-1. Equal sets are merged first, by a digest of the set, before anything else is shuffled.
+1. Equal sets are merged first, by a digest of the set, before anything else is shuffled. A set is
+   known by 64 bits of the digest; where these are equal but 64 more are not, by the other 64.
 2. Every set is paired with the smallest member of one key, the member it shares most keys with,
    and the pair is verified on the sets themselves.
 3. Keys that hold several components of these links are compared within, sketch by sketch: first
@@ -37,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearledger.llm.bytewords import chunks, lowered, mix, text_bytes, word_hashes, words
+from clearledger.llm.bytewords import SEED, chunks, fresh_seed, lowered, mix, text_bytes, word_hashes, words
 from clearledger.llm.tables import written
+from clearledger.llm.workers import tidy
 
 WORDS, PERCENT = 5, 80
 #: More than the bands of sizes up to 2**40 at a similarity of 0.95.
@@ -47,10 +49,10 @@ FILTER_BITS = 1 << 26
 U64 = np.uint64
 
 
-def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
+def _sets(data: np.ndarray, offsets: np.ndarray, n: int, seed: int = SEED) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each document."""
     starts, ends, first = words(data, offsets)
-    h = word_hashes(lowered(data), starts, ends)
+    h = word_hashes(lowered(data), starts, ends, seed)
     rolled = np.zeros(len(h), U64)
     for i in range(min(n, len(h))):
         rolled[: len(h) - i] = mix(rolled[: len(h) - i] + h[i:])
@@ -68,29 +70,44 @@ def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     return out
 
 
-def set_ids(docs: DataFrame, n: int) -> DataFrame:
-    """(doc, id, n_shingles): a 64-bit digest of each document's set; 0 for an empty one."""
+def set_digests(docs: DataFrame, n: int, seed: int) -> DataFrame:
+    """(doc, id, other, n_shingles): two halves of a digest of each document's set; 0 for an empty one."""
 
     def made(batches):
         for whole in batches:
             for batch in chunks(whole, 1):
-                sets = _sets(*text_bytes(batch.column(1)), n)
+                sets = _sets(*text_bytes(batch.column(1)), n, seed)
+                halves = np.array([_halves(s) for s in sets], np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
-                        pa.array([_set_id(s) for s in sets], pa.int64()),
+                        pa.array(halves[:, 0]),
+                        pa.array(halves[:, 1]),
                         pa.array([len(s) for s in sets], pa.int64()),
                     ],
-                    names=["doc", "id", "n_shingles"],
+                    names=["doc", "id", "other", "n_shingles"],
                 )
 
-    return docs.mapInArrow(made, "doc long, id long, n_shingles long")
+    return docs.mapInArrow(tidy(made), "doc long, id long, other long, n_shingles long")
 
 
-def _set_id(shingles: np.ndarray) -> int:
+def _halves(shingles: np.ndarray) -> tuple[int, int]:
     if not len(shingles):
-        return 0
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+        return 0, 0
+    raw = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+
+
+def _set_id(shingles: np.ndarray, shared: frozenset[int] = frozenset()) -> int:
+    """The first half of the digest, or the second where unlike sets share the first."""
+    first, second = _halves(shingles)
+    return second if first in shared else first
+
+
+def shared_ids(digests: DataFrame) -> frozenset[int]:
+    """First halves that unlike sets share: by chance n * n / 2**65 of n sets."""
+    unlike = digests.groupBy("id").agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low < high")
+    return frozenset(r.id for r in unlike.select("id").collect())
 
 
 class Bands:
@@ -146,20 +163,20 @@ def parity_sketch(shingles: np.ndarray, n_words: int) -> np.ndarray:
     return np.packbits(parity).view(U64)
 
 
-def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def join_keys(docs: DataFrame, linked: Linked) -> DataFrame:
     """(key, id): for each set the hash of (band pair, place, told word) of both of its sketches. The
     band pair stands in the key's low bits.
 
     A task sends a set once, however many of its documents have it."""
-    bands = Bands(percent)
+    bands = linked.bands
 
     def made(batches):
         sent: set[int] = set()
         for whole in batches:
             for batch in chunks(whole, 1):
                 ids, keys = [], []
-                for shingles in _sets(*text_bytes(batch.column(1)), n):
-                    own = _set_id(shingles)
+                for shingles in linked.sets(*text_bytes(batch.column(1))):
+                    own = linked.id_of(shingles)
                     if not len(shingles) or own in sent:
                         continue
                     sent.add(own)
@@ -172,7 +189,7 @@ def join_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 if keys:
                     yield _batch(key=np.concatenate(keys), id=np.concatenate(ids))
 
-    return docs.mapInArrow(made, "key long, id long")
+    return docs.mapInArrow(tidy(made), "key long, id long")
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -210,18 +227,24 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
             key, ids, lead_of_first = key[-1:], ids[-1:], lead[-1]
 
     return (
-        keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(led, "key long, id long, leader long")
+        keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(tidy(led), "key long, id long, leader long")
     )
 
 
 class Linked:
     """Whether two texts link: sizes, then sketches of a common band pair, then the sets."""
 
-    def __init__(self, n: int, percent: int):
-        self.n, self.percent, self.bands = n, percent, Bands(percent)
+    def __init__(self, n: int, percent: int, seed: int = SEED, shared: frozenset[int] = frozenset()):
+        self.n, self.percent, self.seed, self.shared, self.bands = n, percent, seed, shared, Bands(percent)
+
+    def sets(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        return _sets(data, offsets, self.n, self.seed)
 
     def set_of(self, text: bytes) -> np.ndarray:
-        return _sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), self.n)[0]
+        return self.sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+
+    def id_of(self, shingles: np.ndarray) -> int:
+        return _set_id(shingles, self.shared)
 
     def __call__(self, x: np.ndarray, y: np.ndarray) -> bool:
         band = self.bands.of(np.array([len(x), len(y)]))
@@ -247,7 +270,7 @@ def verified(pairs: DataFrame, texts: DataFrame, linked: Linked) -> DataFrame:
                 good = pa.array([linked(sets[p], sets[q]) for p, q in zip(x, y, strict=True)], pa.bool_())
                 yield batch.select(["a", "b"]).filter(good)
 
-    return joined.mapInArrow(checked, "a long, b long")
+    return joined.mapInArrow(tidy(checked), "a long, b long")
 
 
 def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
@@ -258,7 +281,7 @@ def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
         for whole in batches:
             for batch in chunks(whole, 1):
                 out = []
-                sets = _sets(*text_bytes(batch.column(1)), linked.n)
+                sets = linked.sets(*text_bytes(batch.column(1)))
                 for own, shingles in zip(batch.column(0).to_pylist(), sets, strict=True):
                     band = int(bands.of(np.array([len(shingles)]))[0])
                     for pair in range(max(band - 1, 0), band + 1):
@@ -269,7 +292,7 @@ def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "pair", "n", "sketch"]
                 )
 
-    return texts.select("id", "text").mapInArrow(made, "id long, pair long, n long, sketch binary")
+    return texts.select("id", "text").mapInArrow(tidy(made), "id long, pair long, n long, sketch binary")
 
 
 class _Held:
@@ -330,7 +353,7 @@ def near_pairs(rows: DataFrame, percent: int, every: bool) -> DataFrame:
         rows.repartition("key")
         .sortWithinPartitions("key", "main", "id")
         .select("key", "main", "id", "component", "n", "sketch")
-        .mapInArrow(found, "a long, b long")
+        .mapInArrow(tidy(found), "a long, b long")
         .distinct()
     )
 
@@ -362,12 +385,15 @@ def similarity_classes(
     The class is the smallest key reachable by links of at least percent similarity, itself
     included. A null key has no class but its own null."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
-    linked = Linked(n, percent)
-    members = written(set_ids(rows, n), "members")
+    seed = fresh_seed()
+    digests = written(set_digests(rows, n, seed), "digests")
+    linked = Linked(n, percent, seed, shared_ids(digests))
+    known_by = F.when(F.col("id").isin(*linked.shared), F.col("other")).otherwise(F.col("id")) if linked.shared else F.col("id")
+    members = digests.select("doc", known_by.alias("id"), "n_shingles")
     reps = written(
         members.where("n_shingles > 0 AND doc IS NOT NULL").groupBy("id").agg(F.min("doc").alias("rep")), "reps"
     )
-    shared = written(shared_keys(join_keys(rows.where("doc IS NOT NULL"), n, percent)), "shared")
+    shared = written(shared_keys(join_keys(rows.where("doc IS NOT NULL"), linked)), "shared")
     involved = written(shared.select("id").distinct().join(reps, "id"), "involved")
     texts = written(_texts_of(involved, rows, linked), "texts")
     # each set with the leader it shares most keys with
@@ -454,7 +480,7 @@ def _texts_of(sets: DataFrame, rows: DataFrame, linked: Linked) -> DataFrame:
     @F.arrow_udf("boolean")
     def has_set(ids: pa.Array, texts: pa.Array) -> pa.Array:
         said = texts.cast(pa.large_binary()).to_pylist()
-        return pa.array([_set_id(linked.set_of(t or b"")) == i for i, t in zip(ids.to_pylist(), said, strict=True)])
+        return pa.array([linked.id_of(linked.set_of(t or b"")) == i for i, t in zip(ids.to_pylist(), said, strict=True)])
 
     of = sets.join(_likely(rows, sets), F.col("rep") == F.col("doc")).withColumn("hash", F.xxhash64("text"))
     once = of.dropDuplicates(["rep", "id", "hash"])  # the rows lie by rep already

@@ -373,7 +373,8 @@ def prove(manifest: Manifest, claim: Column) -> DataFrame:
         proofs = rows.select("doc_id", "row", "leaf", *nothing)
     else:
         start = F.lit("").alias("tree")
-        top = rows.sparkSession.range(1).select(start, start.alias("subroot"), F.from_json(F.lit("[]"), PATH).alias("path"))
+        # rows, not literals, which the planner would fold into a join without a key
+        top = rows.sparkSession.createDataFrame([("", "", [])], f"tree string, subroot string, path {PATH}")
         languages = manifest.subroots.select(start, "pos")
         lifted = _stepped(languages, manifest.above[0], _paths(manifest.above, top, levels), levels)
         named = manifest.subroots.join(lifted.select("pos", "path"), "pos")

@@ -6,8 +6,9 @@ at the anchors by deep-shallow sorting. ``remove_earlier_windows`` groups the su
 the gram at the anchor; a group too large for a task is split by a longer prefix, the whole window;
 each group's windows are sorted into a suffix tree, whose nodes a window deep are its repeats.
 
-Rows that share a document id count as one document and should be equal. Rows with a null id take
-no part and are kept whole. Null texts are empty; texts shorter than a window are kept whole.
+Rows that share a document id are one document, none of them smaller than another; each has spans of
+its own, found by id and text, so equal rows have equal spans. Rows with a null id take no part and
+are kept whole. Null texts are empty; texts shorter than a window are kept whole.
 Repeats are judged on the input, never on what is left. Columns other than key and text are
 ignored, so they cannot clash. An empty table gives an empty one.
 """
@@ -20,23 +21,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearledger.llm import anchors
-from clearledger.llm.bytewords import chunks
+from clearledger.llm.bytewords import chunks, fresh_seed
 from clearledger.llm.suffixes import longest
 from clearledger.llm.tables import written
+from clearledger.llm.workers import tidy
 
 BYTES, BYTE_GRAM = 400, 64
 WORDS, WORD_GRAM = 50, 20
 #: Representatives of one gram that a task holds in memory; the rest go by whole windows.
 GROUP_ROWS = 20_000
-SPAN = "doc long, start long, end long"
+SPAN = "doc long, row long, start long, end long"
+_SPAN = ["doc", "row", "start", "end"]
 
 
-def _input(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+def _input(docs: DataFrame, text: str, key: str, seed: int) -> DataFrame:
+    """(doc, row, text); the row is told by a hash of its text, which rows of one id may share."""
+    said = F.col(f"`{text}`")
+    row = F.xxhash64(F.lit(seed), said).alias("row")
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc"), row, said.alias("text"))
 
 
 def _spans(*columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns], names=["doc", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns], names=_SPAN)
 
 
 def _by_gram(rows: DataFrame, handle, schema: str, at_least: int) -> DataFrame:
@@ -54,7 +60,7 @@ def _by_gram(rows: DataFrame, handle, schema: str, at_least: int) -> DataFrame:
         if held:
             yield from handle(held)
 
-    return rows.repartition("gram").sortWithinPartitions("gram", "context").mapInArrow(made, schema)
+    return rows.repartition("gram").sortWithinPartitions("gram", "context", "check").mapInArrow(tidy(made), schema)
 
 
 def _repeats(rows: list[dict], window: int):
@@ -71,7 +77,7 @@ def _repeats(rows: list[dict], window: int):
             for r, (back, ahead) in zip(group, longest(before, after, window), strict=True):
                 if back + ahead:
                     place = r["start"] + r["lead"]
-                    out.append((r["doc"], place - back, place + ahead))
+                    out.append((r["doc"], r["row"], place - back, place + ahead))
         at = to
     if out:
         yield _spans(*zip(*out, strict=True))
@@ -82,17 +88,18 @@ def remove_repeated_bytes(
 ) -> DataFrame:
     """(key, n_bytes, spans, kept): each document without the bytes of strings of ``window`` bytes
     that also start anywhere else. ``spans`` are the maximal removed runs, ``kept`` the rest."""
-    rows = _input(docs, text, key)
+    seed = fresh_seed()
+    rows = _input(docs, text, key, seed)
     named = rows.where("doc IS NOT NULL")
-    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "byte", window, gram, False), ordered=False), "judged")
+    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "byte", window, gram, False, seed), ordered=False), "judged")
     settled = judged.where(F.col("what") == anchors.SETTLED).select(
-        "doc", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
+        "doc", "row", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
     )
-    waiting = anchors.with_units(judged.where(F.col("what") == anchors.REPRESENTATIVE), named, "byte", window)
+    waiting = anchors.with_units(judged.where(F.col("what") == anchors.REPRESENTATIVE), named, "byte", window, seed)
     small, large = anchors.split_by_size(written(waiting, "waiting"), GROUP_ROWS)
     found = settled.union(written(_by_gram(small, lambda r: _repeats(r, window), SPAN, 500), "found"))
     if large is not None:
-        found = found.union(anchors.repeated_windows(large, window, ordered=False).select("doc", "start", "end"))
+        found = found.union(anchors.repeated_windows(large, window, ordered=False).select(*_SPAN))
 
     def cut(batches):
         for whole in batches:
@@ -107,7 +114,7 @@ def remove_repeated_bytes(
                 yield _rows(out, _CUT_BYTES)
 
     schema = "doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    made = anchors.with_spans(rows, found).select("doc", "text", "spans").mapInArrow(cut, schema)
+    made = anchors.with_spans(rows, found).select("doc", "text", "spans").mapInArrow(tidy(cut), schema)
     return made.withColumnRenamed("doc", key)
 
 
@@ -146,7 +153,7 @@ def tree_nodes(rows: list[dict], window: int) -> tuple[np.ndarray, np.ndarray, n
 def _earlier(rows: list[dict], window: int):
     """(doc, start, end, rep_start) of windows that a smaller document of the group has."""
     row, number, depth, _ = tree_nodes(rows, window)
-    docs = np.array([r["doc"] for r in rows])[row]
+    docs, own = np.array([r["doc"] for r in rows])[row], np.array([r["row"] for r in rows])[row]
     node = np.flatnonzero(depth < window)  # where another deep node, or a single window, begins
     least = np.repeat(np.minimum.reduceat(docs, node), np.diff(np.append(node, len(docs))))
     again = docs > least
@@ -154,7 +161,7 @@ def _earlier(rows: list[dict], window: int):
         rep = np.array([r["start"] for r in rows])[row][again]
         start = rep + number[again]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (docs[again], start, start + window, rep)], names=["doc", "start", "end", "rep_start"]
+            [pa.array(c) for c in (docs[again], own[again], start, start + window, rep)], names=[*_SPAN, "rep_start"]
         )
 
 
@@ -164,13 +171,14 @@ def remove_earlier_windows(
     """(key, n_words, spans, kept): each document without the words of windows whose words also
     start in a document with a smaller key. ``spans`` are runs of word numbers, ``kept`` the other
     words, joined by one space."""
-    rows = _input(docs, text, key)
+    seed = fresh_seed()
+    rows = _input(docs, text, key, seed)
     named = rows.where("doc IS NOT NULL")
-    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "word", window, gram, True), ordered=True), "judged")
+    judged = written(anchors.judged_rows(anchors.anchor_rows(named, "word", window, gram, True, seed), ordered=True), "judged")
     settled = judged.where(F.col("what") == anchors.SETTLED).select(
-        "doc", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
+        "doc", "row", "start", (F.col("start") + F.col("n") - 1 + window).alias("end")
     )
-    waiting = anchors.with_units(judged.where(F.col("what") == anchors.REPRESENTATIVE), named, "word", window)
+    waiting = anchors.with_units(judged.where(F.col("what") == anchors.REPRESENTATIVE), named, "word", window, seed)
     small, large = anchors.split_by_size(written(waiting, "waiting"), GROUP_ROWS)
     schema = f"{SPAN}, rep_start long"
     found = written(_by_gram(small, lambda r: _earlier(r, window), schema, 1_000), "found")
@@ -178,14 +186,19 @@ def remove_earlier_windows(
         found = found.union(anchors.repeated_windows(large, window, ordered=True))
     # the same context again in the same document: the same windows, moved
     twin = judged.where(F.col("what") == anchors.TWIN).select(
-        "doc", F.col("start").alias("moved"), F.col("twin").alias("rep_start")
+        "doc",
+        F.col("row").alias("own"),
+        F.col("start").alias("moved"),
+        F.col("twin_row").alias("row"),
+        F.col("twin").alias("rep_start"),
     )
-    moved = found.join(twin, ["doc", "rep_start"]).select(
+    moved = found.join(twin, ["doc", "row", "rep_start"]).select(
         "doc",
+        F.col("own").alias("row"),
         (F.col("start") + F.col("moved") - F.col("rep_start")).alias("start"),
         (F.col("end") + F.col("moved") - F.col("rep_start")).alias("end"),
     )
-    found = settled.union(found.select("doc", "start", "end")).union(moved)
+    found = settled.union(found.select(*_SPAN)).union(moved)
 
     def cut(batches):
         for whole in batches:
@@ -200,5 +213,5 @@ def remove_earlier_windows(
                 yield _rows(out, _CUT_WORDS)
 
     schema = "doc long, n_words long, spans array<struct<start:long,end:long>>, kept string"
-    made = anchors.with_spans(rows, found).select("doc", "text", "spans").mapInArrow(cut, schema)
+    made = anchors.with_spans(rows, found).select("doc", "text", "spans").mapInArrow(tidy(cut), schema)
     return made.withColumnRenamed("doc", key)

@@ -95,3 +95,21 @@ def test_order_of_short_texts_counts(spark, n, percent):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = jaccard.similarity_classes(docs, n=n, percent=percent).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, n, percent)
+
+
+def test_unlike_words_with_equal_sums_do_not_link(spark):
+    pair = ["".join(first if bin(i).count("1") % 2 == 0 else second for i in range(1_024)) for first, second in ("ab", "ba")]
+    docs = spark.createDataFrame([(i, f"one two {w} three") for i, w in enumerate(pair)], "doc_id long, text string")
+    got = jaccard.similarity_classes(docs, n=3, percent=90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {0: (2, 0), 1: (2, 1)}
+
+
+def test_sets_that_share_half_a_digest(spark):
+    rows = [(1, 7, 1, 3), (2, 7, 2, 3), (3, 8, 1, 3), (4, 8, 1, 3)]
+    assert jaccard.shared_ids(spark.createDataFrame(rows, "doc long, id long, other long, n_shingles long")) == {7}
+    linked = jaccard.Linked(3, 90)
+    a, b = linked.set_of(b"one two three"), linked.set_of(b"four five six")
+    first, second = jaccard._halves(a)
+    apart = jaccard.Linked(3, 90, shared=frozenset([first]))
+    assert linked.id_of(a) == first and apart.id_of(a) == second
+    assert apart.id_of(b) == linked.id_of(b) == jaccard._halves(b)[0]

@@ -114,7 +114,7 @@ def test_pieces_lose_nothing(spark, monkeypatch):
     for _, t in rows:  # every window belongs to one anchor, whatever the pieces
         raw = np.frombuffer((t or "").encode(), np.uint8).astype(np.uint64)
         bounds = np.array([0, len(raw)])
-        seen = [s + j for _, start, _, n, _, _ in anchors.anchored(raw, bounds, 40, 8) for s, k in zip(start, n, strict=True) for j in range(k)]
+        seen = [s + j for _, start, _, n, _, _, _ in anchors.anchored(raw, bounds, 40, 8) for s, k in zip(start, n, strict=True) for j in range(k)]
         assert sorted(seen) == list(range(max(0, len(raw) - 39)))
 
 
@@ -139,6 +139,49 @@ def test_edges(spark):
     assert words == {None: text, 1: text, 2: "", 3: "x"}
 
 
+def alternating(first, second, n=1_024):
+    """Words whose sums of powers of any odd base are equal modulo 2**64 when the letters change places."""
+    return "".join(first if bin(i).count("1") % 2 == 0 else second for i in range(n))
+
+
+def test_unlike_stretches_with_equal_sums_stay(spark):
+    ahead, behind = (" ".join(f"{c}{i}" for i in range(30)) for c in "vw")
+    docs = [(i, f"{ahead} {alternating(*pair)} {behind}") for i, pair in enumerate(("ab", "ba"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: len(r.spans) for r in substrings.remove_earlier_windows(df).collect()} == {0: 0, 1: 0}
+    middle = "".join(random.Random(1).choices("9f", k=64))
+    docs = [(i, alternating(*pair, 256) + middle + alternating(*pair, 256)) for i, pair in enumerate(("9f", "f9"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: len(r.spans) for r in substrings.remove_repeated_bytes(df).collect()} == {0: 0, 1: 0}
+
+
+def test_rows_that_share_an_id(spark):
+    rng = random.Random(8)
+    a, b = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(130)) for _ in range(2))
+    docs = [(1, a), (1, b), (2, a), (1, b[:300] + "x" + b[300:]), (3, b), (3, b)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.kept) for r in substrings.remove_earlier_windows(df).collect())
+    assert got == sorted([(1, a), (1, b), (2, ""), (1, docs[3][1]), (3, ""), (3, "")])
+    alone = spark.createDataFrame(docs[:3], "doc_id long, text string")
+    got = sorted((r.doc_id, bytes(r.kept).decode()) for r in substrings.remove_repeated_bytes(alone).collect())
+    assert got == sorted([(1, ""), (1, b), (2, "")])
+
+
+@pytest.mark.parametrize("words", [50, 60, 80])
+def test_passages_around_the_length(spark, words):
+    """Passages of 50 to 80 words are under or over 400 bytes: bytes go by 400, words by 50."""
+    rng = random.Random(words)
+    make = lambda k, n: " ".join("".join(rng.choices("abcdefghijkl", k=n)) for _ in range(k))
+    passages = [make(words, n) for n in (4, 5, 6, 7)] + [make(70, 6)[:n] for n in (398, 399, 400, 401)]
+    rows = [(i, f"{make(20, 7)} {p} {make(20, 7)}") for i, p in enumerate(p for p in passages for _ in range(2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = got_bytes(substrings.remove_repeated_bytes(docs))
+    assert one == brute_bytes(rows, 400)
+    for i, p in enumerate(passages):
+        assert (one[2 * i][1] > 0) == (len(p) + 2 >= 400)  # the blanks around it repeat too
+    assert got_words(substrings.remove_earlier_windows(docs)) == brute_words(rows, 50)
+
+
 def test_order_and_longest():
     rng = random.Random(9)
     for _ in range(60):
