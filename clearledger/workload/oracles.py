@@ -254,6 +254,19 @@ CTES = {
         CASE WHEN k % 50 <> 0 THEN c_nationkey END AS branch_id
         FROM (SELECT c_custkey AS k, * FROM customer
               UNION ALL SELECT c_custkey AS k, * FROM customer WHERE c_custkey % 20 = 0)""",
+    "raw_contacts": """SELECT k AS customer_id,
+        CASE WHEN k % 11 = 5 THEN NULL WHEN k % 2 = 0 THEN ' P' || (k // 3) || '@MAIL.de'
+             ELSE 'p' || (k // 3) || '@mail.de ' END AS "Email",
+        CASE WHEN k % 7 <> 3 THEN 49000000000 + (k + 1) // 4 END AS "Contact Number",
+        CASE WHEN k % 40 = 0 THEN 'Name' || (k // 40 % 25) ELSE c_name END AS name
+        FROM (SELECT c_custkey AS k, * FROM customer)""",
+    "wide_lines": "SELECT l_quantity, l_extendedprice, "
+    + ", ".join(
+        f"""CASE WHEN l_orderkey % {31 + i} <> 0
+            THEN CAST((l_orderkey * {i + 3} + l_linenumber) % {17 + i} AS DOUBLE) END AS m{i}"""
+        for i in range(28)
+    )
+    + " FROM lineitem",
     "raw_accounts": f"""SELECT o_orderkey AS account_id,
         CASE WHEN o_orderkey % 1000 = 0 THEN -1 ELSE o_custkey END AS customer_id,
         CASE WHEN o_orderkey % 100 = 7 THEN '-' WHEN o_orderkey % 100 = 8 THEN NULL
@@ -349,6 +362,10 @@ CTES = {
     "dated_orders": """SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 97 = 0
         THEN o_orderdate - INTERVAL 30 YEAR ELSE o_orderdate END AS DATE) AS order_date
         FROM orders""",
+    "density_spread": """SELECT transaction_type AS category, count(transaction_amount) AS total,
+        stddev_samp(transaction_amount / 1000) AS std, min(transaction_amount / 1000) AS low,
+        max(transaction_amount / 1000) AS high FROM int_transactions
+        WHERE transaction_type IS NOT NULL GROUP BY 1""",
 }
 
 
@@ -594,6 +611,18 @@ def _histogram(table: str, expression: str, bins: str) -> str:
 _T = "int_transactions"
 _DAYS = "CAST(transaction_date - DATE '1970-01-01' AS DOUBLE)"
 
+WIDE = ["l_quantity", "l_extendedprice", *(f"m{i}" for i in range(28))]
+# Reached ids by recursion; Spark finds the classes in rounds.
+_LINKED = """WITH RECURSIVE entry AS (
+        SELECT customer_id, 'email' AS kind, lower(trim("Email")) AS value FROM raw_contacts
+        UNION ALL SELECT customer_id, 'phone', CAST("Contact Number" AS VARCHAR) FROM raw_contacts
+        UNION ALL SELECT customer_id, 'name', name FROM raw_contacts),
+    link AS (SELECT DISTINCT x.customer_id AS a, y.customer_id AS b FROM entry x
+        JOIN entry y USING (kind, value)),
+    reach AS (SELECT customer_id AS person, customer_id AS seen FROM raw_contacts
+        UNION SELECT person, b FROM reach JOIN link ON a = seen)
+    SELECT person, min(seen) AS class FROM reach GROUP BY person"""
+
 BODIES = {
     **{n: f"SELECT * FROM {n}" for n in CTES if n.startswith(("stg_", "int_"))},
     # Loaded day by day, or joined bucket by bucket, the reporting table is the same.
@@ -936,6 +965,13 @@ BODIES = {
         for a in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         for b in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
+    "correlation_wide": "SELECT unnest(pairs, recursive := true) FROM (SELECT ["
+    + ", ".join(
+        f"{{'column_a': '{a}', 'column_b': '{b}', 'correlation': round(corr({a}, {b}), 6), 'n': regr_count({a}, {b})}}"
+        for a in WIDE
+        for b in WIDE
+    )
+    + "] AS pairs FROM wide_lines)",
     "histogram_numeric": _histogram("int_loans", "loan_amount", "20"),
     "histogram_dates": _histogram(
         _T,
@@ -959,6 +995,31 @@ BODIES = {
         JOIN (SELECT loan_status AS category, interest_rate AS v, count(*) AS n FROM int_loans
               WHERE interest_rate IS NOT NULL GROUP BY 1, 2) USING (category)
         GROUP BY category, point, start, step""",
+    "kde_binned": """SELECT category, point, round(start + point * step, 9) AS x,
+        round(sum(weight * exp(-0.5 * pow((start + point * step - low - border * bw * 0.02) / bw, 2)))
+            / (any_value(total) * any_value(bw) * sqrt(2 * pi())), 9) AS density,
+        round(0.0004 / 8 / (any_value(bw) * sqrt(2 * pi())), 9) AS error_bound
+        FROM (SELECT *, low - 3 * bw AS start, (high - low + 6 * bw) / 199 AS step,
+                     unnest(range(200)) AS point FROM
+              (SELECT *, std * pow(total, -0.2) AS bw FROM density_spread))
+        JOIN (SELECT category, CAST(floor(place) AS BIGINT) + side AS border,
+                     sum(CASE side WHEN 0 THEN 1 - place + floor(place) ELSE place - floor(place) END) AS weight
+              FROM (SELECT category, (v - low) / (std * pow(total, -0.2) * 0.02) AS place, unnest([0, 1]) AS side
+                    FROM (SELECT transaction_type AS category, transaction_amount / 1000 AS v FROM int_transactions
+                          WHERE transaction_type IS NOT NULL AND transaction_amount IS NOT NULL)
+                    JOIN density_spread USING (category)) GROUP BY ALL) USING (category)
+        GROUP BY category, point, start, step""",
+    "linked_persons": f"SELECT person, class FROM ({_LINKED})",
+    "linked_person_report": f"""SELECT CAST(sum(n) AS BIGINT) AS persons, count(*) AS classes,
+        CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS linked_persons, max(n) AS largest_class
+        FROM (SELECT class, count(*) AS n FROM ({_LINKED}) GROUP BY 1)""",
+    "sketch_profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS count, count(*) - count({c}) AS missing,
+        true AS distinct_within_error, true AS median_within_error,
+        CASE WHEN count(DISTINCT {c}) < 100 THEN (SELECT max(n) FROM (SELECT count(*) AS n FROM lineitem
+            WHERE {c} IS NOT NULL GROUP BY {c})) END AS highest_count FROM lineitem"""
+        for c in ("l_orderkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
+    ),
     "category_shares": """SELECT category, CAST(sum(n) AS BIGINT) AS n,
         round(100.0 * sum(n) / (SELECT count(transaction_currency) FROM int_transactions), 6)
             AS share

@@ -20,7 +20,9 @@ from clearledger.functions import (
 )
 from clearledger.operators import (
     checks,
+    comoments,
     extracts,
+    identity,
     ids,
     observed,
     outliers,
@@ -28,6 +30,7 @@ from clearledger.operators import (
     quality,
     relationships,
     sampling,
+    sketches,
 )
 from clearledger.plans import incremental, intermediate, reporting, staging, storage, warehouse
 from clearledger.plans.suite import SUITE, SUMMARY_KEYS
@@ -778,6 +781,12 @@ def correlation_matrix(spark, folder):
     return rounded(extracts.correlation_matrix(lineitem, columns))
 
 
+@query
+def correlation_wide(spark, folder):
+    """Correlations of thirty columns with gaps, from one scan."""
+    return rounded(comoments.correlations(raw_feeds.wide_lines(spark, folder)))
+
+
 @query
 def histogram_numeric(spark, folder):
     return rounded(extracts.histogram_numeric(_cleaned(spark, folder, "loans"), "loan_amount", 20))
@@ -806,6 +815,14 @@ def kde_by_category(spark, folder):
     return rounded(extracts.kde_by_category(loans, "interest_rate", "loan_status"))
 
 
+@query
+def kde_binned(spark, folder):
+    """Densities of a column with about as many values as rows."""
+    transactions = _cleaned(spark, folder, "transactions")
+    thousands = transactions.select("transaction_type", (F.col("transaction_amount") / 1000).alias("thousands"))
+    return rounded(extracts.kde_binned(thousands, "thousands", "transaction_type"), 9)
+
+
 @query
 def category_shares(spark, folder):
     transactions = _cleaned(spark, folder, "transactions")
@@ -819,3 +836,67 @@ def category_codes(spark, folder):
         transactions, "transaction_id", "transaction_amount", "transaction_currency"
     )
     return rounded(points)
+
+
+# --- persons under several ids, kept sketches ---------------------------------------------------
+
+
+def _linked(spark: SparkSession, folder: str) -> DataFrame:
+    contacts = raw_feeds.raw_contacts(spark, folder)
+    kinds = {
+        "email": F.lower(F.trim("Email")),
+        "phone": F.col("`Contact Number`"),
+        "name": F.col("name"),
+    }
+    return identity.linked_persons(contacts, "customer_id", kinds)
+
+
+@query
+def linked_persons(spark, folder):
+    """Every customer id with the smallest that shared e-mails, phones and names lead to."""
+    return _linked(spark, folder)
+
+
+@query
+def linked_person_report(spark, folder):
+    return identity.linked_person_report(_linked(spark, folder))
+
+
+SKETCHED = ("l_orderkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
+
+
+@query
+def sketch_profile(spark, folder):
+    """Profiles kept by year of shipping, merged over the years and held against exact numbers."""
+    lines = read_table(spark, folder, "lineitem").select(*SKETCHED)
+    kept = sketches.KeptProfiles(shared_folder(spark, "profiles"))
+    kept.add(lines, F.year("l_shipdate"))
+    merged = kept.profile(spark)
+    exact = profile.profile_counts(lines).select("column", F.col("unique_values").alias("distinct"))
+    measured = [c for c in SKETCHED if sketches.measure(lines, c) is not None]
+    guessed = {r["column"]: r["median"] for r in merged.select("column", "median").collect()}  # one a column
+    below = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.avg((sketches.measure(lines, c) < guessed[c]).cast("double")).alias("less"),
+            F.avg((sketches.measure(lines, c) <= guessed[c]).cast("double")).alias("upto"),
+        )
+        for c in measured
+        if guessed[c] is not None
+    ]
+    ranks = lines.agg(F.array(*below).alias("r")).select(F.inline("r"))
+    near = F.abs(F.col("unique_values") - F.col("distinct")) <= 4 * sketches.DISTINCT_ERROR * F.col("distinct")
+    error = 2 * sketches.QUANTILE_ERROR
+    middle = (F.col("less") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)
+    return (
+        merged.join(F.broadcast(exact), "column")
+        .join(F.broadcast(ranks), "column", "left")
+        .select(
+            "column",
+            "count",
+            "missing",
+            near.alias("distinct_within_error"),
+            F.coalesce(middle, F.lit(True)).alias("median_within_error"),
+            F.when(F.col("distinct") < 100, F.get("frequent", F.lit(0))["n"]).alias("highest_count"),
+        )
+    )

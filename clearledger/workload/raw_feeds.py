@@ -17,6 +17,7 @@ CURRENCY_CODES = (
     "CZK", "HUF", "RON", "BGN", "TRY", "ZAR", "BRL", "MXN", "INR", "CNY", "KRW", "THB",
 )
 NATION_WITHOUT_RATE = 7
+WIDE_COLUMNS = 28
 
 # One e-mail defect per remainder of the customer key by 11.
 EMAIL_FORMS = (
@@ -125,6 +126,37 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """Registrations: neighbouring ids share e-mail addresses and phone numbers in overlapping
+    groups, some ids far apart share a name."""
+    k = F.col("c_custkey")
+    group = lambda key, size: _text(F.floor(key / size).cast("bigint"))
+    return read_table(spark, folder, "customer").select(
+        k.alias("customer_id"),
+        F.when(k % 11 == 5, F.lit(None).cast("string"))
+        .when(k % 2 == 0, F.concat(F.lit(" P"), group(k, 3), F.lit("@MAIL.de")))
+        .otherwise(F.concat(F.lit("p"), group(k, 3), F.lit("@mail.de ")))
+        .alias("Email"),
+        F.when(k % 7 != 3, F.lit(49000000000) + F.floor((k + 1) / 4).cast("bigint")).alias("Contact Number"),
+        F.when(k % 40 == 0, F.concat(F.lit("Name"), _text(F.floor(k / 40).cast("bigint") % 25)))
+        .otherwise(F.col("c_name"))
+        .alias("name"),
+    )
+
+
+def wide_lines(spark: SparkSession, folder: str, columns: int = WIDE_COLUMNS) -> DataFrame:
+    """Order lines with many number columns, each with gaps of its own."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    return read_table(spark, folder, "lineitem").select(
+        "l_quantity",
+        "l_extendedprice",
+        *[
+            F.when(key % (31 + i) != 0, ((key * (i + 3) + line) % (17 + i)).cast("double")).alias(f"m{i}")
+            for i in range(columns)
+        ],
+    )
+
+
 def raw_accounts(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("o_orderkey")
     return read_table(spark, folder, "orders").select(
