@@ -125,13 +125,16 @@ def parse_date_mixed(c: Column) -> Column:
 
 def date_shape(c: Column, anchored: bool) -> Column:
     """First date shape found: in the whole stripped text, or anywhere in the raw text."""
-    text = strip_whitespace(c) if anchored else c
-    wrap = "^{}\\z" if anchored else "{}"
-    found = [
-        F.when(text.rlike(wrap.format(pattern)), F.lit(name))
-        for pattern, name in DATE_SHAPES
-    ]
-    return F.coalesce(*found)
+    if anchored:
+        return stripped_date_shape(strip_whitespace(c))
+    return F.coalesce(*[F.when(c.rlike(pattern), F.lit(name)) for pattern, name in DATE_SHAPES])
+
+
+def stripped_date_shape(text: Column) -> Column:
+    """First date shape that is the whole of a stripped text."""
+    return F.coalesce(
+        *[F.when(text.rlike(f"^{pattern}\\z"), F.lit(name)) for pattern, name in DATE_SHAPES]
+    )
 
 
 def has_date_shape(c: Column) -> Column:

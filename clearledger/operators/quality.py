@@ -21,7 +21,7 @@ from clearledger.functions import (
     strip_whitespace,
     whitespace_issue,
 )
-from clearledger.functions.dates import UNRECOGNIZED
+from clearledger.functions.dates import UNRECOGNIZED, stripped_date_shape
 from clearledger.operators.frames import col, percent, string_columns
 from clearledger.operators.sampling import SAMPLES, column_samples
 
@@ -103,22 +103,24 @@ def date_format_counts(df: DataFrame, columns: list[str] | None = None) -> DataF
 
 
 def date_format_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column, format, n, total_non_null): the whole stripped text against eight shapes.
+    """(column, format, n, total_non_null): the whole stripped text against eight shapes, for the
+    texts that hold one of them anywhere.
 
     Without columns those recommended for date conversion are reported: one scan counts every
     text column by shape and by whether a date is found anywhere in it, which decides both."""
     entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"`{c}`").isNotNull().alias("_present"),
-            date_shape(col(c), True).alias("format"),
-            (F.lit(True) if columns else has_date_shape(col(c))).alias("_dated"),
-        )
-        for c in columns or string_columns(df)
+        F.struct(F.lit(c).alias("column"), col(c).alias("_raw")) for c in columns or string_columns(df)
     ]
     if not entries:
         return df.sparkSession.createDataFrame([], "column string, format string, n bigint, total_non_null bigint")
-    shaped = df.select(F.inline(F.array(*entries))).filter("_present")
+    texts = df.select(F.inline(F.array(*entries))).filter("_raw IS NOT NULL")
+    # one joint pattern decides for most values; behind the generator it is not evaluated again
+    judged_once = F.struct(has_date_shape(F.col("_raw")).alias("_dated"), strip_whitespace(F.col("_raw")).alias("_text"))
+    shaped = texts.select("column", F.inline(F.array(judged_once))).select(
+        "column",
+        F.when(F.col("_dated"), stripped_date_shape(F.col("_text"))).alias("format"),
+        (F.lit(True) if columns else F.col("_dated")).alias("_dated"),
+    )
     counts = shaped.groupBy("column", "format", "_dated").agg(F.count("*").alias("n"))
     # At most eighteen rows per column by now.
     column = W.partitionBy("column")
