@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from clearledger.llm.bytewords import SIGNS, chunks, lowered, mix, text_bytes, word_hashes, words
 from clearledger.llm.tables import written
+from clearledger.llm.workers import tidy
 
 #: Fixed masks: 1 looks at a word, 0 ignores it.
 MASKS = ("11101001011", "11011000111", "10110110011")
@@ -201,7 +202,7 @@ def overlaps(
                             names=["doc_id", "item_id", "first_word", "n_words", "n_equal"],
                         )
 
-        part = rows.mapInArrow(look, OVERLAP)
+        part = rows.mapInArrow(tidy(look), OVERLAP)
         found = part if found is None else found.union(part)
     return found
 
@@ -222,5 +223,5 @@ def without_contaminated(
                     clean = [not o for o in shared.value.overlaps(batch.column(place))]
                     yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(tidy(keep), docs.schema)
     return docs

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearledger.llm.bytewords import CHUNK_BYTES, lowered, text_bytes, word_hashes, words
+from clearledger.llm.workers import tidy, with_columns
 
 TRAINING_ROWS = 6_000
 BUCKETS = 1 << 12
@@ -36,6 +37,8 @@ BATCH = 256
 RATE = 0.02
 DECAY = 1e-4
 SEED = 11
+#: Bytes of text passed on at once.
+SLICE_BYTES = 1 << 21
 
 _CLASSES = np.full(256, 6, np.int8)  # other signs
 for _k, _bytes in enumerate(
@@ -213,10 +216,10 @@ def fit(
 
     made = (
         known.withColumn("key", F.col("key").cast("string"))
-        .mapInArrow(featured, "key string, features binary")
+        .mapInArrow(tidy(featured), "key string, features binary")
         .repartition(1)  # the bounded sample
         .sortWithinPartitions("key", "features")
-        .mapInArrow(trained, "model binary")
+        .mapInArrow(tidy(trained), "model binary")
         .collect()
     )
     return pickle.loads(made[0]["model"]) if made else None
@@ -233,15 +236,17 @@ def score(
     if machine is None:
         return df.withColumn(into, F.lit(0.5))
 
-    @F.arrow_udf("double")
-    def scored(column: pa.Array, *meta: pa.Array) -> pa.Array:
+    places = [df.columns.index(c) for c in (text, *metadata)]
+
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
         out = [np.zeros(0)]
-        for data, offsets, own in _parts(column, *meta):
+        columns = [batch.column(i) for i in places]
+        for data, offsets, own in _parts(*columns):
             row, idx, value, stats = vectors(data, offsets)
             out.append(machine.score(row, idx, value, np.hstack([stats, _meta(own, len(stats))])))
-        return pa.array(np.concatenate(out), pa.float64())
+        return [pa.array(np.concatenate(out), pa.float64())]
 
-    return df.withColumn(into, scored(F.col(f"`{text}`"), *[F.col(f"`{m}`").cast("double") for m in metadata]))
+    return with_columns(df, f"`{into}` double", lambda: work, SLICE_BYTES, text)
 
 
 def held_out(key: Column) -> Column:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearledger.llm.bytewords import CHUNK_BYTES, text_bytes
+from clearledger.llm.workers import with_columns
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -38,6 +39,9 @@ MIN_RUN = 20
 MIN_RATIO = 0.5
 SAMPLE_DOCUMENTS = 500
 RANDOM_STRINGS = 6_000
+#: Bytes of text worked on at once.
+SLICE_BYTES = 1 << 21
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 _IN_RUN = np.zeros(256, bool)
 _IN_RUN[[ord(c) for c in ALPHABET]] = True
 
@@ -148,24 +152,29 @@ def rows_with_runs(column: pa.Array, least: int = MIN_RUN) -> set[int]:
     return found
 
 
+def spans_of(column: pa.Array, model: RatioModel) -> tuple[list[str], list[list[tuple[str, int, int]]]]:
+    """The texts of a column and the spans of each, by start, then kind as listed."""
+    runs, texts, out = rows_with_runs(column), [], []
+    for i, raw in enumerate(column.cast(pa.large_binary()).to_pylist()):
+        said = (raw or b"").decode("utf-8", "replace")
+        found = base_spans(said)
+        if i in runs:
+            found += run_spans(said, model)
+        found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
+        texts.append(said)
+        out.append(found)
+    return texts, out
+
+
 def scan(df: DataFrame, model: RatioModel, text: str = "text", into: str = "spans") -> DataFrame:
     """Add the spans of every secret: structs (kind, start, end) by start, then kind as listed."""
+    place = df.columns.index(text)
 
-    @F.arrow_udf(SPANS_TYPE)
-    def spans(column: pa.Array) -> pa.Array:
-        runs, out = rows_with_runs(column), []
-        for i, raw in enumerate(column.cast(pa.large_binary()).to_pylist()):
-            said = (raw or b"").decode("utf-8", "replace")
-            found = base_spans(said)
-            if i in runs:
-                found += run_spans(said, model)
-            found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-            out.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-        return pa.array(
-            out, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        )
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        found = spans_of(batch.column(place), model)[1]
+        return [pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in row] for row in found], _SPANS)]
 
-    return df.withColumn(into, spans(F.col(f"`{text}`")))
+    return with_columns(df, f"`{into}` {SPANS_TYPE}", lambda: work, SLICE_BYTES, text)
 
 
 def count(spans: Column, kind: str) -> Column:
@@ -177,22 +186,39 @@ def listing(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def cut_out(said: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with ``[SECRET]`` for each stretch covered by spans."""
+    at, kept = 0, []
+    for _, start, end in spans:
+        if start >= at:
+            kept += [said[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join([*kept, said[at:]])
+
+
 def redact(df: DataFrame, spans: str = "spans", text: str = "text") -> DataFrame:
     """Replace each stretch covered by spans with ``[SECRET]``; the spans column goes."""
+    at, of = df.columns.index(text), df.columns.index(spans)
+
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        raws = batch.column(at).cast(pa.large_binary()).to_pylist()
+        cut = [
+            None if raw is None else cut_out(raw.decode("utf-8", "replace"), [(s["kind"], s["start"], s["end"]) for s in row or []])
+            for raw, row in zip(raws, batch.column(of).to_pylist(), strict=True)
+        ]
+        return [pa.array(cut, pa.string())]
+
+    return with_columns(df, f"`{text}` string", lambda: work, SLICE_BYTES, text).drop(spans)
+
+
+def without_secrets(df: DataFrame, model: RatioModel, text: str = "text") -> DataFrame:
+    """Replace the secrets of each text, found and cut out in one pass; null texts stay null."""
+    place = df.columns.index(text)
+
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        column = batch.column(place)
+        texts, found = spans_of(column, model)
+        there = column.is_valid().to_pylist()
+        return [pa.array([cut_out(t, s) if v else None for t, s, v in zip(texts, found, there, strict=True)], pa.string())]
 
-    @F.arrow_udf("string")
-    def cut(column: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for raw, stretches in zip(column.cast(pa.large_binary()).to_pylist(), found.to_pylist(), strict=True):
-            if raw is None or not stretches:
-                out.append(None if raw is None else raw.decode("utf-8", "replace"))
-                continue
-            said, at, kept = raw.decode("utf-8", "replace"), 0, []
-            for s in stretches:
-                if s["start"] >= at:
-                    kept += [said[at : s["start"]], "[SECRET]"]
-                at = max(at, s["end"])
-            out.append("".join([*kept, said[at:]]))
-        return pa.array(out, pa.string())
-
-    return df.withColumn(text, cut(F.col(f"`{text}`"), F.col(f"`{spans}`"))).drop(spans)
+    return with_columns(df, f"`{text}` string", lambda: work, SLICE_BYTES, text)

@@ -44,14 +44,13 @@ def with_columns(
     """Add columns (in place of any of the same names), worked out from slices of about ``least``
     bytes of a text or binary ``column``.
 
-    ``start`` is called once a task and returns the function of a slice; what it holds ends with
-    the task."""
+    ``start`` is called once a task and returns the function of a slice, which has all columns of
+    the frame, those to be replaced as well; what it holds ends with the task."""
     from clearledger.llm.bytewords import chunks
 
     new = T.StructType.fromDDL(added)
-    kept = [f for f in df.schema.fields if f.name not in new.names or f.name == column]
-    rest = [f for f in kept if f.name not in new.names]
-    names = [f.name for f in kept]
+    rest = [f for f in df.schema.fields if f.name not in new.names]
+    names = df.columns
 
     def made(batches):
         work = start()
@@ -62,4 +61,4 @@ def with_columns(
                 yield pa.RecordBatch.from_arrays([*passed, *arrays], names=[*(f.name for f in rest), *new.names])
 
     schema = T.StructType([*rest, *new.fields])
-    return df.select(*[f"`{n}`" for n in names]).mapInArrow(tidy(made), schema)
+    return df.mapInArrow(tidy(made), schema)

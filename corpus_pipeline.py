@@ -32,13 +32,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of five-word shingles at 0.8; of rows that
-    share an id one, and every row without an id."""
+    share an id the one with the smallest hash, and every row without an id."""
     classes = jaccard.similarity_classes(docs)
     gone = classes.where("doc_id <> component_id").select("doc_id")
     named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
     repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     once = named.join(repeated, "doc_id", "left_anti")
-    first = named.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    several = named.join(repeated, "doc_id", "left_semi")
+    own = F.struct(*COLUMNS)
+    first = several.groupBy("doc_id").agg(F.min_by(own, F.struct(F.xxhash64(own), "text")).alias("row")).select("row.*")
     return once.unionByName(first).unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
 
 
@@ -50,7 +52,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets cut out of the text."""
     model = secrets.fit(secrets.labelled_samples(docs))
-    cut = secrets.redact(secrets.scan(docs.select(*COLUMNS), model, into="_spans"), "_spans")
+    cut = secrets.without_secrets(docs.select(*COLUMNS), model)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 

@@ -11,7 +11,7 @@ def test_stages_and_registration(spark, small):
 
     assert [name for name, _ in p.STAGES] == ["quality", "near_copies", "decontamination", "secrets", "encoding"]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_each_stage_decides(spark, small):
