@@ -208,10 +208,12 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", language: str
     known = docs.select(
         F.col(f"`{key}`").alias("k"), F.col(f"`{language}`").cast("string").alias("l"), F.col(f"`{text}`").alias("t")
     ).where("k IS NOT NULL AND l IS NOT NULL")
-    # the limit of a row number comes before the shuffle, so a frequent language is one heap a task
+    hashed = known.where(F.col("t").rlike(r"\p{L}")).select("k", "l", F.shiftrightunsigned(F.xxhash64("k"), 1).alias("h"))
+    # of a language with n rows about twice the wanted ones have so low a hash: the others need no shuffle
+    sizes = hashed.groupBy("l").count().orderBy(F.desc("count"), "l").limit(TRAINING_ROWS)
+    low = hashed.join(F.broadcast(sizes), "l").where(F.col("h") < F.lit(2.0**64) * TRAINING_ROWS / F.col("count"))
     order = Window.partitionBy("l").orderBy("h", "k")
-    placed = known.where(F.col("t").rlike(r"\p{L}")).select("k", "l", F.xxhash64("k").alias("h"))
-    placed = placed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRAINING_ROWS)
+    placed = low.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRAINING_ROWS)
     chosen = placed.orderBy("place", "h", "l").limit(TRAINING_ROWS).select("k", "l").distinct()
     rows = known.join(F.broadcast(chosen), ["k", "l"])  # at most TRAINING_ROWS rows of two values
 
