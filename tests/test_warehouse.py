@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import compare
 import pytest
+from pyspark.sql import functions as F
 
-from clearledger.plans import warehouse
+from clearledger.operators import checks
+from clearledger.plans import reporting, warehouse
 from clearledger.sources import catalog, tables
 from clearledger.workload import raw_feeds
 from clearledger.workload.queries import QUERIES
@@ -134,3 +138,65 @@ def test_compare_notices_differences():
     assert compare.normal_rows(["b", "a"], [(1, 2)]) == [(2, 1)]
     assert compare.normal_rows(["a"], [(1.0000000000001,)]) == compare.normal_rows(["a"], [(1.0,)])
     assert compare.normal_rows(["a"], [(1,)]) != compare.normal_rows(["a"], [(2,)])
+
+
+def banking_rows(spark, folder):
+    """Transactions in a file, with a hot account, missing and unknown accounts and repeated rows, and
+    accounts, rates and customers, of which one account and one customer come twice."""
+    n, k = 3000, F.col("id")
+    spark.range(n).select(
+        k.alias("transaction_id"),
+        F.when(k % 3 == 0, 7).when(k % 50 == 1, F.lit(None)).otherwise(k % 400).cast("long").alias("account_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (k % 40).cast("int")).alias("transaction_date"),
+        F.element_at(F.array(F.lit("EUR"), F.lit("USD"), F.lit("XXX")), (k % 3 + 1).cast("int")).alias(
+            "transaction_currency"
+        ),
+        F.when(k % 17 != 0, (k % 1000).cast("double")).alias("transaction_amount"),
+    ).coalesce(1).write.parquet(f"{folder}/transactions")
+    accounts = spark.range(390).select(k.alias("account_id"), F.when(k % 9 != 0, k % 50).alias("customer_id"))
+    customers = spark.range(45).select(k.alias("customer_id"), (k % 5).cast("int").alias("branch_id"))
+    return {
+        "transactions": spark.read.parquet(f"{folder}/transactions"),
+        "accounts": accounts.unionByName(accounts.where("account_id = 11")),
+        "fx_rates": spark.createDataFrame([("USD", 0.5)], "currency_iso_code string, fx_rate double"),
+        "customers": customers.unionByName(customers.where("customer_id = 12")),
+    }
+
+
+def dealt_by_account(df) -> set[int]:
+    """The numbers of partitions that plans deal rows by account to."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {int(n) for n in re.findall(r"hashpartitioning\(account_id#\d+L?, (\d+)\)", plan)}
+
+
+def test_account_join_is_dealt_by_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    rows = banking_rows(spark, tmp_path)
+    whole = reporting.customer_transactions_summary(**rows)
+    assert tables.tasks_for(rows["transactions"]) is None
+    assert tables.tasks_for(rows["accounts"]) is None  # from no file
+    before = sorted(map(str, whole.collect()))
+    for tasks in (20, 40):
+        monkeypatch.setattr(tables, "TASK_BYTES", -(-tables.file_bytes(rows["transactions"]) // tasks))
+        finer = reporting.customer_transactions_summary(**rows)
+        assert dealt_by_account(finer) >= {tables.tasks_for(rows["transactions"])}
+        assert tables.tasks_for(rows["transactions"]) in (tasks - 1, tasks)
+        assert sorted(map(str, finer.collect())) == before
+
+
+def test_keys_of_a_finely_dealt_report_are_checked_in_its_tasks(spark, tmp_path, monkeypatch):
+    rows = banking_rows(spark, tmp_path)
+    keys = ["transaction_date", "customer_id", "account_id", "branch_id"]
+    before = sorted(map(str, checks.unique_combination(reporting.customer_transactions_summary(**rows), keys).collect()))
+    monkeypatch.setattr(tables, "TASK_BYTES", -(-tables.file_bytes(rows["transactions"]) // 20))
+    summary = reporting.customer_transactions_summary(**rows)
+    found = checks.unique_combination(summary, keys)
+    assert dealt_by_account(found) >= {tables.tasks_for(rows["transactions"])}
+    assert sorted(map(str, found.collect())) == before
+
+
+def test_bytes_of_files_with_odd_names(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    spark.range(10).write.parquet(str(folder))
+    written = sum(f.stat().st_size for f in folder.glob("*.parquet"))
+    assert tables.file_bytes(spark.read.parquet(str(folder))) == written > 0
+    assert tables.file_bytes(spark.range(3)) == 0
