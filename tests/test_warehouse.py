@@ -8,8 +8,9 @@ import compare
 import pytest
 from pyspark.sql import functions as F
 
-from clearledger.operators import checks
+from clearledger.operators import checks, observed
 from clearledger.plans import reporting, warehouse
+from clearledger.plans.suite import SUITE
 from clearledger.sources import catalog, tables
 from clearledger.workload import raw_feeds
 from clearledger.workload.queries import QUERIES
@@ -200,3 +201,17 @@ def test_bytes_of_files_with_odd_names(spark, tmp_path):
     written = sum(f.stat().st_size for f in folder.glob("*.parquet"))
     assert tables.file_bytes(spark.read.parquet(str(folder))) == written > 0
     assert tables.file_bytes(spark.range(3)) == 0
+
+
+def test_observed_report_is_dealt_by_the_size_of_its_layer(spark, tmp_path, monkeypatch):
+    rows = banking_rows(spark, tmp_path)
+    layers = {f"int_{name}": df for name, df in rows.items()}
+    name = "customer_transactions_summary"
+    own = [c for c in SUITE if c.model == name]
+    written, whole = observed.write_observed(warehouse.reporting_models(layers)[name], f"{tmp_path}/whole", own)
+    monkeypatch.setattr(tables, "TASK_BYTES", -(-tables.file_bytes(rows["transactions"]) // 20))
+    report = warehouse.reporting_models(layers)[name]
+    assert dealt_by_account(report) >= {tables.tasks_for(rows["transactions"])}
+    again, finer = observed.write_observed(report, f"{tmp_path}/finer", own)
+    assert finer == whole and any(r[3] > 0 for r in whole)
+    assert sorted(map(str, again.collect())) == sorted(map(str, written.collect()))
