@@ -19,6 +19,7 @@ periods (or all) again from the partials alone. A missing date has a period of i
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,8 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearledger.plans.reporting import price_and_group, sums_per_account
-from clearledger.sources.tables import stored
+from clearledger.sources.tables import MOST_TASKS, stored
 
+#: Partial sums, read from footers, per task of the join that rebuilds periods.
+TASK_SUMS = 500_000
 PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 NO_DATE = "none"
 NAMED_PERIODS = 1_000
@@ -149,7 +152,9 @@ class DailySummary:
         merged = sums.where("_transactions > 0").groupBy("account_id", "transaction_date", "currency_iso_code").agg(
             F.sum("_amount").alias("_amount"), F.sum("_transactions").alias("_transactions")
         )
-        report = price_and_group(merged, accounts, fx_rates, customers)
+        tasks = min(math.ceil(sums.count() / TASK_SUMS), MOST_TASKS)
+        finer = tasks if tasks > spark.sparkContext.defaultParallelism else None
+        report = price_and_group(merged, accounts, fx_rates, customers, tasks=finer)
         placed = report.withColumn("period", period_of(F.col("transaction_date"), self.grain))
         places = sums.select("period").distinct()
         _overwrite(_with_empty_rows(placed, places, "total_transactions"), self.report_path, ["period"])

@@ -201,3 +201,34 @@ def test_queries_of_the_stored_forms_equal_the_plain_one(spark, small):
     plain = compare.spark_result(workload.customer_transactions_summary(spark, small))
     for name in ("summary_daily_merge", "summary_from_buckets"):
         assert compare.spark_result(workload.QUERIES[name](spark, small)) == plain
+
+
+def test_periods_are_rebuilt_in_tasks_that_follow_their_sums(spark, tmp_path, monkeypatch):
+    day, k = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 60).cast("int")), F.col("id")
+    rows = spark.range(2000).select(
+        (k % 300).alias("account_id"),
+        day.alias("transaction_date"),
+        F.lit("EUR").alias("transaction_currency"),
+        (k % 97).cast("double").alias("transaction_amount"),
+    )
+    inputs = {
+        "accounts": spark.range(300).select(k.alias("account_id"), (k % 40).alias("customer_id")),
+        "fx_rates": spark.createDataFrame([("USD", 0.5)], "currency_iso_code string, fx_rate double"),
+        "customers": spark.range(40).select(k.alias("customer_id"), (k % 3).cast("int").alias("branch_id")),
+    }
+    asked, real = [], incremental.price_and_group
+
+    def noted(*args, tasks=None):
+        asked.append(tasks)
+        return real(*args, tasks=tasks)
+
+    monkeypatch.setattr(incremental, "price_and_group", noted)
+    reports = []
+    for share in (10_000, 10):
+        monkeypatch.setattr(incremental, "TASK_SUMS", share)
+        table = incremental.DailySummary(str(tmp_path / str(share)), grain="month")
+        table.add(rows, "one", **inputs)
+        reports.append(sorted(map(str, table.report(spark).collect())))
+    assert reports[0] == reports[1]
+    held = table.partials(spark).count()
+    assert asked == [None, -(-held // 10)]
