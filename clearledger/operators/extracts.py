@@ -142,11 +142,7 @@ def kde_by_category(
     Equal values are merged first. A value then reaches only the grid points where its kernel
     is not zero in double precision, so the work per value falls as the bandwidth narrows.
     """
-    name = category or "_all"
-    source = df if category else df.withColumn("_all", F.lit("all"))
-    values = source.select(
-        col(name).alias("category"), as_double(df, column).alias("_v")
-    ).filter("category IS NOT NULL AND _v IS NOT NULL")
+    values = _category_values(df, column, category)
     merged = values.groupBy("category", "_v").agg(F.count("*").alias("_n"))
     curves = _curves(values, grid)
     if category:
@@ -176,11 +172,7 @@ def kde_binned(
     Linear interpolation of the kernel K of bandwidth h errs by at most bin ** 2 / 8 * max |K''|, so
     the density is within ``error_bound`` = bin_width ** 2 / (8 h sqrt(2 pi)) of the exact one.
     """
-    name = category or "_all"
-    source = df if category else df.withColumn("_all", F.lit("all"))
-    values = source.select(
-        col(name).alias("category"), as_double(df, column).alias("_v")
-    ).filter("category IS NOT NULL AND _v IS NOT NULL")
+    values = _category_values(df, column, category)
     curves = stored(_curves(values, grid), "curves")  # one row a category
     bin_ = F.col("_bw") * bin_width
     place = (F.col("_v") - F.col("_min")) / bin_
@@ -208,6 +200,17 @@ def kde_binned(
     return _densities(curves, sums, grid, bound.alias("error_bound"))
 
 
+def _category_values(df: DataFrame, column: str, category: str | None) -> DataFrame:
+    """(category, _v) where neither is missing.
+
+    Both pass through a generator of one row: the filters on missing values would be pushed below the
+    projections that make them, and each text read into a number several times."""
+    name = col(category) if category else F.lit("all")
+    given = df.select(F.inline(F.array(F.struct(name.alias("category"), col(column).alias("_given")))))
+    values = given.select("category", as_double(given, "_given").alias("_v"))
+    return values.filter("category IS NOT NULL AND _v IS NOT NULL")
+
+
 def _curves(values: DataFrame, grid: int) -> DataFrame:
     """Bandwidth by Scott's rule and even axis of each category's curve."""
     spread = values.groupBy("category").agg(

@@ -471,3 +471,26 @@ def scanned(spark, run, file):
                         value = values.get(metrics.apply(k).accumulatorId())
                         total += int(value.get().replace(",", "")) if value.isDefined() else 0
     return total
+
+
+@pytest.mark.parametrize("density", [extracts.kde_binned, extracts.kde_by_category])
+def test_densities_make_each_value_once_a_pass(spark, density):
+    calls = spark.sparkContext.accumulator(0)
+
+    def parsed(text):
+        calls.add(1)
+        return float(text)
+
+    n = 200
+    texts = spark.range(n, numPartitions=2).select(
+        F.when(F.col("id") % 10 != 0, F.lit("a")).alias("kind"), (F.col("id") % 7).cast("string").alias("text")
+    )
+    numbers = texts.select("kind", F.udf(parsed, "double")("text").alias("v"))
+    assert density(numbers, "v", "kind", grid=20).count() == 20
+    assert calls.value <= 2 * n  # spread first, then the densities
+
+
+def test_densities_of_a_column_named_category(spark):
+    df = spark.createDataFrame([(float(i % 9), "x") for i in range(40)], "category double, kind string")
+    assert {r["category"] for r in extracts.kde_binned(df, "category", "kind", grid=20).collect()} == {"x"}
+    assert extracts.kde_by_category(df, "category", grid=20).count() == 20
