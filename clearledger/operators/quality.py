@@ -114,9 +114,12 @@ def date_format_report(df: DataFrame, columns: list[str] | None = None) -> DataF
     if not entries:
         return df.sparkSession.createDataFrame([], "column string, format string, n bigint, total_non_null bigint")
     texts = df.select(F.inline(F.array(*entries))).filter("_raw IS NOT NULL")
-    # one joint pattern decides for most values; behind the generator it is not evaluated again
-    judged_once = F.struct(has_date_shape(F.col("_raw")).alias("_dated"), strip_whitespace(F.col("_raw")).alias("_text"))
-    shaped = texts.select("column", F.inline(F.array(judged_once))).select(
+    # one joint pattern decides for most values, and only the others are stripped; behind the
+    # generators neither is evaluated again
+    judged_once = F.struct(has_date_shape(F.col("_raw")).alias("_dated"), "_raw")
+    stripped_once = F.struct("_dated", F.when(F.col("_dated"), strip_whitespace(F.col("_raw"))).alias("_text"))
+    dated = texts.select("column", F.inline(F.array(judged_once)))
+    shaped = dated.select("column", F.inline(F.array(stripped_once))).select(
         "column",
         F.when(F.col("_dated"), stripped_date_shape(F.col("_text"))).alias("format"),
         (F.lit(True) if columns else F.col("_dated")).alias("_dated"),

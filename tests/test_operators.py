@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -494,3 +495,19 @@ def test_densities_of_a_column_named_category(spark):
     df = spark.createDataFrame([(float(i % 9), "x") for i in range(40)], "category double, kind string")
     assert {r["category"] for r in extracts.kde_binned(df, "category", "kind", grid=20).collect()} == {"x"}
     assert extracts.kde_by_category(df, "category", grid=20).count() == 20
+
+
+def test_date_report_strips_only_texts_with_a_date(spark):
+    rows = [(" 2024-01-02\t", "x 1.2.2024"), (" 03/04/2024", " padded "), (None, "2024-1-1"), ("12345,67", "3.4.2024")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    report = quality.date_format_report(df)
+    assert sorted(map(tuple, report.collect())) == [
+        ("a", "DD/MM/YYYY or MM/DD/YYYY", 1, 3),
+        ("a", "YYYY-MM-DD", 1, 3),
+        ("a", "unrecognized", 1, 3),
+        ("b", "DD.MM.YYYY", 1, 4),
+        ("b", "YYYY-MM-DD", 1, 4),
+        ("b", "unrecognized", 2, 4),
+    ]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"CASE WHEN _dated#\d+ THEN trim\(_raw", plan)
