@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from clearledger.llm import anchors, substrings
@@ -193,3 +195,27 @@ def test_order_and_longest():
             both = [(common(before[i], before[j]), common(strings[i], strings[j])) for j in range(len(strings)) if j != i]
             both = [b for b in both if sum(b) >= 10]
             assert pair == (max((b[0] for b in both), default=0), max((b[1] for b in both), default=0))
+
+
+def test_tree_of_a_large_group_writes_no_suffix_out():
+    rng, window = np.random.default_rng(3), 50
+    made = lambda n, words, most: [
+        {"gram": int(g), "n": int(k), "units": rng.integers(0, words, k + window - 1).astype(np.uint64).tobytes()}
+        for g, k in zip(rng.integers(0, 2, n), rng.integers(1, most + 1, n), strict=True)
+    ]
+    few = made(60, 1, 4) + made(40, 2, 6)
+    row, number, depth, group = substrings.tree_nodes(few, window)
+    first = list(dict.fromkeys(r["gram"] for r in few))
+    words = [np.frombuffer(r["units"], np.uint64) for r in few]
+    said = [(first.index(r["gram"]), *words[i][k : k + window], i, k) for i, r in enumerate(few) for k in range(r["n"])]
+    want = sorted(said)
+    assert [(g, i, k) for g, i, k in zip(group, row, number, strict=True)] == [(w[0], *w[-2:]) for w in want]
+    for i, (a, b) in enumerate(zip(want, want[1:]), 1):
+        alike = next((k for k in range(window) if a[k + 1] != b[k + 1]), window)
+        assert depth[i] == (alike if a[0] == b[0] else 0)
+    many = made(5_000, 3, 20)
+    tracemalloc.start()
+    substrings.tree_nodes(many, window)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < sum(r["n"] for r in many) * window * 8  # all suffixes of the group, written out once
