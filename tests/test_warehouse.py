@@ -215,3 +215,15 @@ def test_observed_report_is_dealt_by_the_size_of_its_layer(spark, tmp_path, monk
     again, finer = observed.write_observed(report, f"{tmp_path}/finer", own)
     assert finer == whole and any(r[3] > 0 for r in whole)
     assert sorted(map(str, again.collect())) == sorted(map(str, written.collect()))
+
+
+def test_suite_over_a_finely_dealt_report(spark, tmp_path, monkeypatch):
+    rows = banking_rows(spark, tmp_path)
+    name = "customer_transactions_summary"
+    own = [c for c in SUITE if c.model == name]
+    whole = checks.check_suite_summary(own, {name: reporting.customer_transactions_summary(**rows)})
+    before = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(tables, "TASK_BYTES", -(-tables.file_bytes(rows["transactions"]) // 20))
+    finer = checks.check_suite_summary(own, {name: reporting.customer_transactions_summary(**rows)})
+    assert dealt_by_account(finer) >= {tables.tasks_for(rows["transactions"])}
+    assert sorted(map(str, finer.collect())) == before
