@@ -16,10 +16,11 @@ Classes are found without writing all pairs of a group:
    known by 64 bits of the digest; where these are equal but 64 more are not, by the other 64.
 2. Every set is paired with the smallest member of one key, the member it shares most keys with,
    and the pair is verified on the sets themselves.
-3. Keys that hold several components of these links are compared within, sketch by sketch: first
-   the nearest pairs of different components are verified, then, where components still differ,
-   all pairs whose sketches are near enough. So every pair that agrees in a key is in one
-   component already, or too far apart by its sketches, or has been tested.
+3. Keys that hold several components of these links are compared within, by sketches an eighth as
+   wide, whose distance does not exceed the difference either: first the nearest pairs of different
+   components are verified, then, where components still differ, all pairs whose sketches are near
+   enough. So every pair that agrees in a key is in one component already, or too far apart by its
+   sketches, or has been tested.
 
 A key that many sets share has one row of 16 bytes for each; keys are many, as a set has one for
 each ten or so of its shingles, so a hot group spreads over many of them.
@@ -46,6 +47,8 @@ WORDS, PERCENT = 5, 80
 #: More than the bands of sizes up to 2**40 at a similarity of 0.95.
 PAIR_MASK = 1023
 FILTER_BITS = 1 << 26
+#: Of the sketch words of a band pair the rows of a key carry one in so many, and so many at least.
+SENT_SHARE, SENT_LEAST = 8, 4
 U64 = np.uint64
 
 
@@ -139,6 +142,13 @@ class Bands:
         empty = least * math.exp(-0.8 / (apart * (1 + 100 / self.percent))) if apart else 0
         return least + (math.ceil(empty + 2 * math.sqrt(empty)) if empty >= 0.5 else 0)
 
+    def sent_words(self, pair: int) -> int:
+        """The width of the sketches that rows of a key carry. Each has some eight bits for each shingle
+        that linked sets may differ in: two such sets stay below that number, unlike ones reach several times it,
+        and pairs just short of a link are told apart on their sets."""
+        n_words = self.words(pair)
+        return min(n_words, max(SENT_LEAST, math.ceil(n_words / SENT_SHARE)))
+
 
 def told_words(shingles: np.ndarray, n_words: int, furthest: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, XOR of the shingles' hashes) of the sketch words to join on.
@@ -274,7 +284,7 @@ def verified(pairs: DataFrame, texts: DataFrame, linked: Linked) -> DataFrame:
 
 
 def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
-    """(id, pair, n, sketch): both sketches of each set of texts (id, text)."""
+    """(id, pair, n, sketch): both sketches of each set of texts (id, text), as wide as rows carry them."""
     bands = linked.bands
 
     def made(batches):
@@ -285,7 +295,7 @@ def sketches_of(texts: DataFrame, linked: Linked) -> DataFrame:
                 for own, shingles in zip(batch.column(0).to_pylist(), sets, strict=True):
                     band = int(bands.of(np.array([len(shingles)]))[0])
                     for pair in range(max(band - 1, 0), band + 1):
-                        out.append((own, pair, len(shingles), parity_sketch(shingles, bands.words(pair)).tobytes()))
+                        out.append((own, pair, len(shingles), parity_sketch(shingles, bands.sent_words(pair)).tobytes()))
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 columns = list(zip(*out, strict=True)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays(

@@ -113,3 +113,13 @@ def test_sets_that_share_half_a_digest(spark):
     apart = jaccard.Linked(3, 90, shared=frozenset([first]))
     assert linked.id_of(a) == first and apart.id_of(a) == second
     assert apart.id_of(b) == linked.id_of(b) == jaccard._halves(b)[0]
+
+
+def test_rows_of_a_key_carry_narrow_sketches(spark):
+    linked = jaccard.Linked(5, 80)
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(size))) for i, size in enumerate((8, 300, 3000))]
+    rows = jaccard.sketches_of(spark.createDataFrame(texts, "id long, text string"), linked).collect()
+    assert len(rows) == 6
+    for r in rows:
+        whole = linked.bands.words(r.pair) * 8
+        assert len(r.sketch) % 8 == 0 and len(r.sketch) <= max(whole / 8 + 8, 32)
