@@ -123,3 +123,22 @@ def test_rows_of_a_key_carry_narrow_sketches(spark):
     for r in rows:
         whole = linked.bands.words(r.pair) * 8
         assert len(r.sketch) % 8 == 0 and len(r.sketch) <= max(whole / 8 + 8, 32)
+
+
+def test_pairs_about_the_limit_equal_all_pairs(spark):
+    """Texts with common stretches, which meet in keys, some just above the limit and some just below."""
+    n, percent = 5, 80
+    rng = random.Random(n)
+    bases = [[f"b{b}w{i}" for i in range(240)] for b in range(5)]
+    texts = []
+    for base in bases:
+        for changes in [*range(14)] * 2:
+            words = list(base)
+            for at in rng.sample(range(len(words)), changes):
+                words[at] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+        texts += [" ".join(base[:k] + [f"tail{rng.randrange(10**6)}" for _ in range(240 - k)]) for k in (60, 120, 180, 215, 225)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.similarity_classes(docs, n=n, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, n, percent)
